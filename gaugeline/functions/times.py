@@ -21,6 +21,9 @@ UNIT_MS = {
     "y": 31_536_000_000,
 }
 
+# Units of a window length such as ``1 minute``.
+SPAN_MS = {"millisecond": 1, "second": 1_000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000}
+
 # Accepted written dates, by what they look like.
 DATE_FORMATS = [
     (r"^\d{4}/\d{2}/\d{2}$", "yyyy/MM/dd"),
@@ -69,6 +72,12 @@ def floor_to(t: Column, step_ms: int) -> Column:
     return t - F.pmod(t, F.lit(step_ms))
 
 
+def span_millis(length: str) -> int:
+    """``"10 minutes"`` as milliseconds."""
+    count, unit = length.split()
+    return int(count) * SPAN_MS[unit.removesuffix("s")]
+
+
 def duration_millis(text: Column) -> Column:
     """``10ms``, ``2m``, ``1n`` ... as milliseconds; NULL unless a positive number and a known unit."""
     number = F.regexp_extract(text, r"^(\d+)(?i:ms|s|m|h|d|w|n|y)$", 1).try_cast("bigint")

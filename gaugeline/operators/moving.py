@@ -33,6 +33,7 @@ def moving_sums(
     )
     rows = series.select("*", *[x.alias(f"_{n}") for n, x in sums.items()], F.explode(place).alias("_p"))
     part = [*key, "_p.block"]
+    rows = rows.repartition(*part)
     rightward = Window.partitionBy(*part).orderBy("_p.at", "_p.shifted").rowsBetween(Window.unboundedPreceding, 0)
     # From the right, a shifted row at the same time comes first: the lower bound is inclusive.
     leftward = (

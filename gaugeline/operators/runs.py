@@ -62,6 +62,7 @@ def annotate(
     inner_start = (c("n") > 2) & starts_run(c("r"), c("r1"), c("r2"))
     rows = (
         with_slice(present.select(*key, "t", F.struct(*read).alias("r")), "t", slice_ms)
+        .repartition(*part)
         .withColumns(
             {
                 "n": F.row_number().over(in_slice),

@@ -6,6 +6,9 @@ per ``(point, t)``, hence a slice holds at most ``slice_ms`` of them. Windows ru
 has to cross a slice border travels in an *edge table* with one row per slice, whose size per
 point is bounded by the covered time, not by the number of readings. It is joined back on the same
 keys the windows are partitioned by, so the readings are not shuffled again.
+
+The slices are placed by an explicit ``repartition``. A window over ``(point, slice)`` would be content
+with rows that happen to be partitioned by point alone, which is what slices are to avoid.
 """
 
 from __future__ import annotations
@@ -59,6 +62,7 @@ def with_neighbours(
     others = [c for c in series.columns if c not in key]
     present = series.filter(reduce(and_, [F.col(k).isNotNull() for k in key]))
     packed = with_slice(present, t, slice_ms).select(*part, t, F.struct(*others).alias("_row"))
+    packed = packed.repartition(*part)
     point = F.struct(t, *[F.col("_row")[c].alias(c) for c in values])
     rows = packed.select(
         "*",

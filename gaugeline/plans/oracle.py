@@ -247,8 +247,8 @@ ORACLE: dict[str, str] = {
     "join_limits": f"""WITH {_READINGS}, {_LIMITS} SELECT seq, r.namespace, upper_bound, lower_bound,
   (lower_bound < v AND v < upper_bound) AS status FROM readings r JOIN limits l ON r.namespace = l.namespace""",
     "ring_ratio": f"""{_BASE}, h AS ({_last('bound', 'id', HOUR)}),
- p AS (SELECT b.id, a.v, a.t, b.v AS v2, CAST(round(CAST(CASE WHEN b.v <> 0 THEN (a.v - b.v) / b.v END
-   AS DECIMAL(28,12)), 3) AS DOUBLE) AS ring_ratio
+ p AS (SELECT b.id, a.v, a.t, b.v AS v2, CAST(round(CAST(CAST(CASE WHEN b.v <> 0 THEN (a.v - b.v) / b.v END
+   AS VARCHAR) AS DECIMAL(38,18)), 3) AS DOUBLE) AS ring_ratio
   FROM h b LEFT JOIN h a ON a.id = b.id AND a.t = b.t + {HOUR})
  SELECT id, v, t, v2, ring_ratio, ring_ratio BETWEEN -0.1::DOUBLE AND 0.1::DOUBLE AS is_ok FROM p""",
     "minute_last": f"{_BASE} {_last('bound', 'uri', 60000)}",

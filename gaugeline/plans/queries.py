@@ -36,6 +36,8 @@ HOUR, DAY = times.HOUR_MS, times.DAY_MS
 DATA_START = 1_704_067_200_000
 NOW = 1_706_659_200_000
 REGIONS = 100
+# Event ids break ties of time; they count up from 0.
+TIE = {"tie": "seq", "tie_below": 2**36}
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -143,7 +145,7 @@ def src_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _daily_table(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
     """Last value per day and uri, written as the keyed table and opened again."""
-    daily = aggregates.window_last(views.bound(spark, sf_dir), "1 day", tie="seq")
+    daily = aggregates.window_last(views.bound(spark, sf_dir), "1 day", **TIE)
     keyed_table.put(keyed_table.with_row_key(daily, REGIONS), path, 0)
     return keyed_table.read(spark, path)
 
@@ -182,7 +184,7 @@ def sink_keyed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "keyed")
     bound = views.bound(spark, sf_dir)
     keyed_table.put(keyed_table.with_row_key(aggregates.window_avg(bound, "1 day"), REGIONS), path, 0)
-    last = aggregates.window_last(bound.filter("v >= 20"), "1 day", tie="seq")
+    last = aggregates.window_last(bound.filter("v >= 20"), "1 day", **TIE)
     keyed_table.put(keyed_table.with_row_key(last, REGIONS), path, 1)
     table = keyed_table.read(spark, path)
     return table.select("salt", "row_key", "uri", F.round("v", 9).alias("v"), "t")
@@ -197,7 +199,7 @@ def sink_year_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_totalprice").alias("v"),
         F.col("o_orderkey").alias("seq"),
     )
-    rows = keyed_table.with_row_key(aggregates.window_last(orders, "1 day", tie="seq"), REGIONS)
+    rows = keyed_table.with_row_key(aggregates.window_last(orders, "1 day", **TIE), REGIONS)
     keyed_table.put_by_year(rows, path, 0)
     table = keyed_table.read(spark, path)
     name = F.concat(F.lit("minute_"), F.col("year").cast("string"))
@@ -358,7 +360,7 @@ def switch_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregates.window_last(views.bound(spark, sf_dir), "1 hour", tie="seq")
+    return aggregates.window_last(views.bound(spark, sf_dir), "1 hour", **TIE)
 
 
 @query("row_key")
@@ -404,7 +406,7 @@ def join_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("ring_ratio")
 def ring_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hourly = aggregates.window_last(views.bound(spark, sf_dir), "1 hour", ("id",), tie="seq")
+    hourly = aggregates.window_last(views.bound(spark, sf_dir), "1 hour", ("id",), **TIE)
     return comparisons.ring_ratio(hourly, step=HOUR)
 
 
@@ -413,7 +415,7 @@ def ring_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("minute_last")
 def minute_last(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregates.window_last(views.bound(spark, sf_dir), tie="seq")
+    return aggregates.window_last(views.bound(spark, sf_dir), **TIE)
 
 
 @query("hour_last")
@@ -437,33 +439,33 @@ def hour_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
 def minute_last_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ingest time is derived from the reading here, so that results repeat."""
     stamped = views.bound(spark, sf_dir).withColumn("st", F.col("t") + F.col("seq") % 1000)
-    out = aggregates.window_last_ingest(stamped, "1 hour", tie="seq")
+    out = aggregates.window_last_ingest(stamped, "1 hour", **TIE)
     return keyed_table.with_row_key(out, REGIONS).select("row_key", "v", "t", "st")
 
 
 @query("sliding_last_point")
 def sliding_last_point(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.sliding_last(
-        views.readings(spark, sf_dir), ("id",), HOUR, 10 * times.MINUTE_MS, tie="seq"
+        views.readings(spark, sf_dir), ("id",), HOUR, 10 * times.MINUTE_MS, **TIE
     )
 
 
 @query("sliding_last_point_ns")
 def sliding_last_point_ns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.sliding_last(
-        views.readings(spark, sf_dir), ("point_id", "namespace"), HOUR, 20 * times.MINUTE_MS, tie="seq"
+        views.readings(spark, sf_dir), ("point_id", "namespace"), HOUR, 20 * times.MINUTE_MS, **TIE
     )
 
 
 @query("tumbling_last_point")
 def tumbling_last_point(spark: SparkSession, sf_dir: str) -> DataFrame:
     floats = views.readings(spark, sf_dir).filter(values.value_type(F.col("raw_v")) == "F")
-    return aggregates.window_last_point(floats, "1 minute", tie="seq")
+    return aggregates.window_last_point(floats, "1 minute", **TIE)
 
 
 @query("minute_running")
 def minute_running(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = aggregates.window_running(views.readings(spark, sf_dir), "1 hour", tie="seq")
+    out = aggregates.window_running(views.readings(spark, sf_dir), "1 hour", **TIE)
     return out.withColumns({"sum_v": F.round("sum_v", 6), "avg_v": F.round("avg_v", 9)})
 
 
@@ -473,7 +475,7 @@ def minute_running(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("lag_windowed")
 def lag_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows = aggregates.sliding_last(
-        views.readings(spark, sf_dir), ("point_id",), HOUR, 10 * times.MINUTE_MS, tie="seq"
+        views.readings(spark, sf_dir), ("point_id",), HOUR, 10 * times.MINUTE_MS, **TIE
     )
     return comparisons.lag_windowed(windows)
 

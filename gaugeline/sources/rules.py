@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +15,11 @@ from gaugeline.sources.schemas import RULE_DOCUMENT
 LIMIT_PARAMS = {"upperbound": "$.0.value", "lowerbound": "$.1.value"}
 SWITCH_PARAMS = {"switch_default": "$.0.value"}
 AMPLITUDE_PARAMS = {"amp": "$.0.value"}
+# Bounds of a table that may be broadcast, and the spread of a join beyond them.
+BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 * 1024 * 1024
+SPREAD = 32
+
 COLUMN_PREFIX = "dc.cleaning.rule.column."
 
 
@@ -64,17 +71,37 @@ def rule_id(gateway_id: Column, point_id: Column) -> Column:
     return F.concat(F.lit("/"), gateway_id, F.lit("/"), point_id)
 
 
-def join_rules(readings: DataFrame, rules: DataFrame) -> DataFrame:
-    """Every reading with its rule, NULLs where none is bound.
+def fits_broadcast(small: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether a table is proven small: counted and weighed, reading no more than ``rows + 1`` rows."""
+    weight = reduce(add, [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in small.columns])
+    head = small.limit(rows + 1).agg(F.count("*").alias("n"), F.sum(weight + 16 * len(small.columns)).alias("size"))
+    found = head.first()
+    return found["n"] <= rows and (found["size"] or 0) <= size
+
+
+def lookup(facts: DataFrame, small: DataFrame, key: Column, small_key: str, how: str) -> DataFrame:
+    """Join ``facts`` to ``small``, which has one row per ``small_key``.
 
-    Not forced to broadcast: Spark does so while the rules are below
-    ``spark.sql.autoBroadcastJoinThreshold`` and otherwise joins by shuffle, where adaptive
-    execution splits the partition of a busy point (rules hold one row per id).
+    Broadcast when ``small`` is proven small. Beyond that both sides shuffle, the facts of
+    a key spread over ``SPREAD`` parts and ``small`` repeated for each, so that a key holding a large share
+    of the facts is no task's burden.
     """
+    wanted = small.withColumn("_key", F.col(small_key))
+    if small_key in facts.columns:
+        wanted = wanted.drop(small_key)
+    if fits_broadcast(small):
+        return facts.join(F.broadcast(wanted), key == wanted["_key"], how).drop("_key")
+    parts = F.sequence(F.lit(0), F.lit(SPREAD - 1))
+    wanted = wanted.withColumn("_part", F.explode(parts))
+    spread = facts.withColumn("_own_key", key).withColumn("_own_part", F.monotonically_increasing_id() % SPREAD)
+    on = (spread["_own_key"] == wanted["_key"]) & (spread["_own_part"] == wanted["_part"])
+    return spread.join(wanted, on, how).drop("_own_key", "_own_part", "_key", "_part")
+
+
+def join_rules(readings: DataFrame, rules: DataFrame) -> DataFrame:
+    """Every reading with its rule (one per id), NULLs where none is bound."""
     bare = readings.drop(*[c for c in rules.columns if c in readings.columns])
-    bound = rules.withColumn("_id", F.col("id"))
-    on = rule_id(bare["gateway_id"], bare["point_id"]) == bound["_id"]
-    return bare.join(bound, on, "left").drop("_id")
+    return lookup(bare, rules, rule_id(F.col("gateway_id"), F.col("point_id")), "id", "left")
 
 
 def split_bound(joined: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -84,7 +111,7 @@ def split_bound(joined: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def join_limits(readings: DataFrame, limits: DataFrame, key: str = "namespace") -> DataFrame:
     """Readings that have limits for their namespace. ``limits`` holds one row per namespace."""
-    return readings.join(limits, key)
+    return lookup(readings, limits, F.col(key), key, "inner")
 
 
 def three_way(judged: DataFrame, status: str = "status") -> tuple[DataFrame, DataFrame]:
