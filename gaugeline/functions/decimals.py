@@ -33,20 +33,15 @@ def divide(
 ) -> Column:
     """Quotient rounded HALF_UP to ``digits``; NULL when ``b`` is zero.
 
-    Spark rounds a decimal quotient at a scale of its own choice, and rounding that again could
-    tip over a half. Whole-number arithmetic rounds once: ``(2a + b) div 2b`` on magnitudes.
+    Spark rounds a decimal quotient to the scale of its result type, and rounding that once more
+    could tip over a half. So the dividend's precision is chosen such that the result type has
+    exactly ``digits`` digits. That cannot be fewer than six; below, the digits in between suffice
+    to tell a half from its neighbours.
     """
-    if digits < 0:
-        raise ValueError("digits must not be negative")
-    if whole + scale + digits > 36:
-        raise ValueError("whole + scale + digits must not exceed 36")
-    unit = f"decimal({whole + scale},0)"
-    x = (F.abs(_decimal(a, whole, scale)) * F.lit(10**scale)).cast(unit)
-    y = (F.abs(_decimal(b, whole, scale)) * F.lit(10**scale)).cast(unit)
-    wide = "decimal(38,0)"
-    shifted = F.concat(x.cast("string"), F.lit("0" * digits)).cast(wide)
-    top = (shifted * F.lit(2)).cast(wide) + y
-    bottom = F.nullif((y * F.lit(2)).cast(wide), F.lit(0).cast(wide))
-    quotient = ((top - top % bottom) / bottom).cast("double")
-    sign = F.when((a < 0) != (b < 0), -1.0).otherwise(1.0)
-    return sign * quotient / F.lit(float(10**digits))
+    room = 38 - digits
+    if digits < 0 or whole + scale > room or (digits < 6 and 2 * (whole + scale) + digits >= 38):
+        raise ValueError("digits must be 0 or more, and whole + scale + digits small enough for 38")
+    divisor = F.nullif(_decimal(b, whole, scale), F.lit(0))
+    if digits < 6:
+        return F.round(_decimal(a, whole, scale) / divisor, digits).cast("double")
+    return (a.cast(f"decimal({room},{scale})") / divisor).cast("double")
