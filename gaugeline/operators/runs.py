@@ -75,7 +75,8 @@ def annotate(
         .withColumn("inner_start", F.max(F.when(inner_start, c("t"))).over(so_far))
     )
 
-    # One row per slice: its first two and last two readings and its latest inner start.
+    # One row per slice: its first two and last two readings and its latest inner start. Only the
+    # rows at the ends of a slice are aggregated; the last one knows the latest inner start.
     across = Window.partitionBy(*key).orderBy(SLICE)
     earlier = across.rowsBetween(Window.unboundedPreceding, -1)
     first_start = c("first_t")
@@ -85,7 +86,8 @@ def annotate(
     start_2 = F.when(starts_run(c("second_r"), c("first_r"), c("prev_r")), c("second_t"))
     second = c("n") == 2
     edges = (
-        rows.groupBy(*part)
+        rows.filter((c("n") <= 2) | c("next_t").isNull())
+        .groupBy(*part)
         .agg(
             F.min("t").alias("first_t"),
             F.min_by("r", "t").alias("first_r"),

@@ -64,21 +64,30 @@ def with_neighbours(
     packed = with_slice(present, t, slice_ms).select(*part, t, F.struct(*others).alias("_row"))
     packed = packed.repartition(*part)
     point = F.struct(t, *[F.col("_row")[c].alias(c) for c in values])
-    rows = packed.select(
-        "*",
-        F.lag(point).over(in_slice).alias("_lag"),
-        F.lead(point).over(in_slice).alias("_lead"),
-        point.alias("_point"),
+    rows = packed.withColumns(
+        {"_lag": F.lag(point).over(in_slice), "_lead": F.lead(point).over(in_slice)}
+    )
+    # First and last row of a slice, column by column: with plain numbers this is a hash aggregate
+    # on rows that lie together already, without a sort.
+    ends = {"first": (F.min, F.min_by), "last": (F.max, F.max_by)}
+    edges = packed.groupBy(*part).agg(
+        *[
+            agg
+            for name, (extreme, by) in ends.items()
+            for agg in (
+                extreme(t).alias(f"_{name}_{t}"),
+                *[by(F.col("_row")[c], t).alias(f"_{name}_{c}") for c in values],
+            )
+        ]
+    )
+    first, last = (
+        F.struct(*[F.col(f"_{name}_{c}").alias(c) for c in (t, *values)]) for name in ends
     )
     across = Window.partitionBy(*key).orderBy(SLICE)
-    edges = (
-        rows.groupBy(*part)
-        .agg(F.min_by("_point", t).alias("_first"), F.max_by("_point", t).alias("_last"))
-        .select(
-            *part,
-            F.lag("_last").over(across).alias("_before_slice"),
-            F.lead("_first").over(across).alias("_after_slice"),
-        )
+    edges = edges.select(
+        *part,
+        F.lag(last).over(across).alias("_before_slice"),
+        F.lead(first).over(across).alias("_after_slice"),
     )
     return rows.join(edges, part, "left").select(
         *[F.col(c) if c in key else F.col("_row")[c].alias(c) for c in series.columns],
