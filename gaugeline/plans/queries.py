@@ -500,7 +500,7 @@ def moving_average(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("abnormal_runs")
 def abnormal_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of all four rules together, as rows of the range table (0 = open)."""
-    parts = [abnormal_ranges(views.judged(spark, sf_dir, name), rule) for name, rule in RULES.items()]
+    parts = [abnormal_ranges(judged, rule) for rule, judged in views.judged_all(spark, sf_dir)]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

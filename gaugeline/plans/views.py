@@ -73,13 +73,20 @@ def bound(spark: SparkSession, sf_dir: str, new_rules: bool = False) -> DataFram
     return join_rules(readings(spark, sf_dir), rules(spark, new_rules)).filter("id IS NOT NULL")
 
 
-def series(bound_readings: DataFrame, rule: Discriminator) -> DataFrame:
-    """First arrivals with what the rule needs. The parameters belong to the id, so they ride along
+def series(bound_readings: DataFrame, *rules_used: Discriminator) -> DataFrame:
+    """First arrivals with what the rules need. The parameters belong to the id, so they ride along
     as grouping columns."""
-    keys = ["id", "uri", *rule.params, SLICE, "t"]
+    params = dict.fromkeys(p for rule in rules_used for p in rule.params)
+    keys = ["id", "uri", *params, SLICE, "t"]
     return first_arrivals(with_slice(bound_readings), keys).drop(SLICE, "seq")
 
 
 def judged(spark: SparkSession, sf_dir: str, name: str, new_rules: bool = False) -> DataFrame:
     rule = RULES[name]
     return annotate(series(bound(spark, sf_dir, new_rules), rule), rule)
+
+
+def judged_all(spark: SparkSession, sf_dir: str) -> list[tuple[Discriminator, DataFrame]]:
+    """Every rule over one series: its scan and the removal of duplicates are shared."""
+    unique = series(bound(spark, sf_dir), *RULES.values())
+    return [(rule, annotate(unique, rule)) for rule in RULES.values()]

@@ -50,6 +50,13 @@ def test_readings_are_shuffled_once(spark):
     assert "ReusedExchange" in plan(df)
 
 
+def test_all_rules_share_one_scan(spark):
+    df = entry.queries()["abnormal_runs"](spark, SF_DIR)
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1
+
+
 def test_slices_hold_even_if_rows_lie_by_point(spark):
     rule = RULES["limit"]
     by_point = views.series(views.bound(spark, SF_DIR), rule).repartition(4, "id")
