@@ -55,14 +55,16 @@ class _Tail:
         return spark.read.parquet(self._slot("tail", batch_id - 1)), mark["latest"]
 
     def save(self, tail: DataFrame, batch_id: int, latest: int | None) -> None:
-        tail.write.mode("overwrite").parquet(self._slot("tail", batch_id))
+        tail.hint("rebalance").write.mode("overwrite").parquet(self._slot("tail", batch_id))
         mark = tail.sparkSession.range(1, numPartitions=1).select(
             F.lit(batch_id).cast("bigint").alias("batch_id"), F.lit(latest).cast("bigint").alias("latest")
         )
         mark.write.mode("overwrite").parquet(self._slot("mark", batch_id))
 
     def output(self, rows: DataFrame, kind: str, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.root}/{kind}/batch_id={batch_id}")
+        # Rebalanced, so that a batch leaves files of a useful size, not one per shuffle partition.
+        target = f"{self.root}/{kind}/batch_id={batch_id}"
+        rows.hint("rebalance").write.mode("overwrite").parquet(target)
 
 
 class _Incremental:
