@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -27,13 +26,24 @@ def build_session(app: str = "gaugeline", master: str | None = None, **conf: str
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the cluster's checkpoint folder.
+    """A new folder that the driver and every executor reach, for written intermediate tables.
 
-    Every executor must reach it, so the place comes from ``spark.checkpoint.dir``. Only where
-    that is unset (tests on one machine) a temporary folder takes its place.
+    It lies below the folder in ``spark.checkpoint.dir``, else below the one given to
+    ``setCheckpointDir``, else below the warehouse. A session that has none of them raises: a local
+    temporary folder would lose rows on a cluster.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="gaugeline-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    places = (
+        spark.conf.get("spark.checkpoint.dir", None),
+        spark.sparkContext.getCheckpointDir(),
+        spark.conf.get("spark.sql.warehouse.dir", None),
+    )
+    base = next((place for place in places if place), None)
+    if base is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder made by ``shared_folder`` once nothing reads it any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
