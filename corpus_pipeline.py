@@ -1,12 +1,35 @@
-"""A training corpus from ``documents``, in stages; each stage is written as Parquet and read by the next."""
+"""A training corpus from ``documents``, in stages; each stage is written as Parquet and read by the next.
+
+Every stage but the last returns the columns of ``documents``; rows with nulls, repeated rows, empty tables and
+extra columns are handled as the operators' docstrings say.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gaugeline.llm.common import written
+from gaugeline.llm import language
+from gaugeline.llm.common import fresh, numbered, written
 from gaugeline.llm.exact_dedup import drop_copies
 from gaugeline.llm.mixing import mixed
+from gaugeline.llm.near_dedup import drop_near_copies
+from gaugeline.llm.packing import pack
+from gaugeline.llm.queries import held_out
+
+# Share of a document's letters that its language must have.
+MAIN_LANGUAGE = 0.5
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a main language stay; those without a letter or a language of half their letters go."""
+    row = fresh(docs, "row_number")
+    table = numbered(docs, row)
+    model = language.fit(table.filter(~held_out()))
+    good = language.label(table, model, keep=(row,)).filter(
+        (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MAIN_LANGUAGE)
+    )
+    return table.join(good.select(row), row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,14 +37,30 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_copies(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each class of near duplicates stays, that of the smallest id."""
+    return drop_near_copies(docs)
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources give words by weight; rows repeat where a source is taken more than once."""
     return mixed(docs)
 
 
-STAGES = [("exact_dedup", exact_dedup), ("mixing", mixing)]
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents, token ids included, in sequences of at most 1024 tokens."""
+    return pack(docs)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("mixing", mixing),
+    ("packing", packing),
+]
 
-# Language models of the corpus, near duplicates and tokens have no SQL twin.
+# Language models, near duplicates and token ids have no SQL twin; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gaugeline.session import drop_folder, shared_folder
@@ -82,8 +82,14 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     smallest one, then its smaller ones. Links shrink to stars in a logarithmic number of rounds. A
     hub's neighbours are never gathered: both steps are an aggregate and a join, which splits hot keys.
     """
-    edges = written(links.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u <> v").distinct(), "links")
-    while True:
+    def stored(df: DataFrame) -> tuple[DataFrame, dict]:
+        # Number of links and sums of two hashes of them, taken while they are written.
+        seen = Observation()
+        hashed = [F.sum(F.xxhash64(F.lit(salt), "u", "v").cast("decimal(38,0)")).alias(f"h{salt}") for salt in (1, 2)]
+        return written(df.observe(seen, F.count(F.lit(1)).alias("n"), *hashed), "links"), seen.get
+
+    edges, state = stored(links.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u <> v").distinct())
+    while state["n"]:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -91,13 +97,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(least, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
-        small = written(small.filter("u <> v").distinct(), "links")
-        # Finished when every link is one of a star: each node has one smaller neighbour that has none.
-        changed = small.exceptAll(edges).limit(1).count() + edges.exceptAll(small).limit(1).count()
+        small, after = stored(small.filter("u <> v").distinct())
         forget(edges, large)
         edges = small
-        if not changed:
+        if after == state:
             break
+        state = after
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     roots = stars.select("root").distinct().select(F.col("root").alias("node"), "root")
     return stars.union(roots)

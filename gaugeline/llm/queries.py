@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from gaugeline.llm import language
 from gaugeline.llm.exact_dedup import exact_groups
 from gaugeline.llm.mixing import mix
+from gaugeline.llm.near_dedup import near_groups
+from gaugeline.llm.packing import pack
 
 Query = Callable[[SparkSession, str], DataFrame]
 LLM_QUERIES: dict[str, Query] = {}
@@ -26,6 +30,19 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def held_out(doc_id: str = "doc_id") -> Column:
+    """Rows that no model is fitted on; a null id counts as empty text."""
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5 == 0
+
+
+@query("op1_language")
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    model = language.fit(docs.filter(~held_out()))
+    labelled = language.label(docs, model)
+    return labelled.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "spans")
+
+
 @query("op2_exact_dedup")
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_documents(spark, sf_dir)).drop("row")
@@ -91,3 +108,14 @@ SELECT doc_id, size, source_size, target,
        (whole * size + greatest(0, least(size, budget - whole * source_size - start)))::BIGINT AS taken
 FROM passes
 """
+
+
+@query("op7_packing")
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(_documents(spark, sf_dir))
+    return pieces.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
+
+
+@query("op6_near_dedup")
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(_documents(spark, sf_dir)).drop("row")
