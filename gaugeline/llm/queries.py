@@ -12,6 +12,7 @@ from gaugeline.llm.exact_dedup import exact_groups
 from gaugeline.llm.mixing import mix
 from gaugeline.llm.near_dedup import near_groups
 from gaugeline.llm.packing import pack
+from gaugeline.llm.sharding import shard
 
 Query = Callable[[SparkSession, str], DataFrame]
 LLM_QUERIES: dict[str, Query] = {}
@@ -119,3 +120,17 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_near_dedup")
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(_documents(spark, sf_dir)).drop("row")
+
+
+@query("op8_sharding")
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shard(_documents(spark, sf_dir))
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
