@@ -27,8 +27,8 @@ def normalised(text: Column) -> Column:
 
 
 def _blocks(text: Column, block: int) -> Column:
-    last = F.floor(F.greatest(F.length(text) - 1, F.lit(0)) / block).cast("int")
-    return F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(text, i * block + 1, F.lit(block)))
+    """Blocks of ``block`` characters in one pass over the text; an empty text is one empty block."""
+    return F.when(text == "", F.array(F.lit(""))).otherwise(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{block}}}"), F.lit(0)))
 
 
 def _digest(block: Column) -> Column:
@@ -67,7 +67,8 @@ def exact_groups(
     )
 
     # Level 0: the whole blocks.
-    texts = cut.select(F.explode("blocks").alias("block"))
+    # Outer, though no text is without a block: else the blocks are made twice, once to filter empty ones.
+    texts = cut.select(F.explode_outer("blocks").alias("block"))
     names = _named(texts, ["block"]).select(_digest(F.col("block")).alias("digest"), "held", "name")
     names = written(names, "block-names")
     twice = names.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
