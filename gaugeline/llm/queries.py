@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from gaugeline.llm import language
 from gaugeline.llm.exact_dedup import exact_groups
+from gaugeline.llm.licenses import license_scan
 from gaugeline.llm.mixing import mix
 from gaugeline.llm.near_dedup import near_groups
+from gaugeline.llm.neighbours import nearest
 from gaugeline.llm.packing import pack
 from gaugeline.llm.sharding import shard
+from gaugeline.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 LLM_QUERIES: dict[str, Query] = {}
@@ -134,3 +137,18 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query("op4_license_scan")
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(_documents(spark, sf_dir))
+
+
+@query("op5_neighbours")
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
+
+
+@query("op10_token_counts")
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_documents(spark, sf_dir))
