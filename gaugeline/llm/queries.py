@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import language
+from gaugeline.llm import language, personal
 from gaugeline.llm.exact_dedup import exact_groups
 from gaugeline.llm.licenses import license_scan
 from gaugeline.llm.mixing import mix
@@ -152,3 +152,19 @@ def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_token_counts")
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_documents(spark, sf_dir))
+
+
+def _is(kind: str) -> Callable[[Column], Column]:
+    return lambda value: value == kind
+
+
+@query("op9_personal_data")
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    found = personal.personal_data(docs, personal.fit(docs))
+    base = F.filter("spans", lambda s: s["base"])
+    held = F.transform(base, lambda s: s["kind"])
+    counts = [F.size(F.filter(held, _is(k))).cast("bigint").alias(f"n_{k}") for k in personal.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(personal.joined(base), 256).alias("base_sha256"), personal.joined(F.col("spans")).alias("spans")
+    )
