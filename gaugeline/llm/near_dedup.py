@@ -9,9 +9,9 @@ are never made.
 
 Copies (equal bags) become one representative before anything is paired. Representatives that share a
 band are candidates. Instead of all pairs of a bucket, each member is first checked against one member of
-each of its buckets, chosen by hash; only pairs that then still lie in different components and share a
-bucket are all checked. Every pair is verified on whole bags, so a large group of near copies costs at most as many checks per
-member as there are bands, and no link between components is lost.
+each of its buckets, the one that shares buckets with most others. Only what then still lies in different
+components and shares a bucket is checked pair by pair, inside tasks of bounded size that emit links
+alone. Every link is verified on whole bags, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -23,15 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import components, fresh, numbered, written
+from gaugeline.llm.common import components, fresh, numbered, parts_for, written
 from gaugeline.llm.shingles import mix64, shingles, slices, word_hashes
 
 WORDS = 5
 SIMILAR = 0.8
 # At similarity 0.8 a pair shares a band with probability 1 - (1 - 0.8**6)**32 > 0.9999.
 BANDS, ROWS = 32, 6
-# Rounds of checks against one member of each bucket before the rest is checked in pairs.
-ROUNDS = 1
+# Members of a block of a large bucket.
+TILE = 512
 
 
 def _weighted(texts: list[str], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -151,6 +151,72 @@ def verified(pairs: DataFrame, bag: DataFrame, similar: float) -> DataFrame:
     return measured.filter(F.col("shared") >= F.lit(similar) * F.col("either") - 1e-9).select("a", "b")
 
 
+def across(members: DataFrame, bands: DataFrame, bag: DataFrame, similar: float) -> DataFrame:
+    """Links ``a, b`` between ``part``s of a ``bucket``, enough of them to connect all parts that are linked at all.
+
+    A bucket is cut into blocks by hash, and each pair of blocks is a tile with a task's bounded share of the work. A pair
+    that shares several buckets is checked in the first one only, and not if links of its tile connect it already.
+    """
+    blocks = F.ceil(F.col("n") / TILE).cast("int")
+    own = F.pmod(F.xxhash64("row"), blocks).cast("int")
+    tiles = members.withColumns({"blocks": blocks, "own": own}).select(
+        "bucket", "row", "size", "part", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    )
+    tiles = tiles.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
+    filled = tiles.join(bands, "row").join(bag, "row")
+    filled = filled.repartition(parts_for(members.sparkSession), "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "row")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows = None, []
+        for batch in batches:
+            keys = list(zip(*(batch.column(c).to_pylist() for c in ("bucket", "i", "j")), strict=True))
+            values = (batch.column(c).to_pylist() for c in ("row", "size", "part", "own", "bands", "bag"))
+            for this, row in zip(keys, zip(*values, strict=True), strict=True):
+                if this != key:
+                    if len(rows) > 1:
+                        yield _tile(key, rows, similar)
+                    key, rows = this, []
+                rows.append(row)
+        if len(rows) > 1:
+            yield _tile(key, rows, similar)
+
+    columns = ["bucket", "i", "j", "row", "size", "part", "own", "bands", "bag"]
+    return filled.select(*columns).mapInArrow(run, "a bigint, b bigint")
+
+
+def _tile(key: tuple[int, int, int], rows: list[tuple], similar: float) -> pa.RecordBatch:
+    bucket, i, j = key
+    number, size, part, own = (np.array([r[k] for r in rows]) for k in range(4))
+    bands = np.array([r[4] for r in rows])
+    bag = [np.frombuffer(r[5], np.uint64) for r in rows]
+    band = int(np.flatnonzero(bands[0] == bucket)[0])
+    root = {p: p for p in part.tolist()}
+
+    def find(p: int) -> int:
+        while root[p] != p:
+            root[p] = p = root[root[p]]
+        return p
+
+    a, b = [], []
+    right = own == j
+    for x in np.flatnonzero(own == i):
+        near = right & (part != part[x]) & (np.minimum(size, size[x]) >= similar * np.maximum(size, size[x]) - 1e-9)
+        if i == j:
+            near &= np.arange(len(rows)) > x
+        if band:
+            near &= ~(bands[:, :band] == bands[x, :band]).any(1)
+        for y in np.flatnonzero(near):
+            p, q = find(int(part[x])), find(int(part[y]))
+            if p == q:
+                continue
+            shared = len(np.intersect1d(bag[x], bag[y], assume_unique=True))
+            if shared >= similar * (len(bag[x]) + len(bag[y]) - shared) - 1e-9:
+                root[p] = q
+                a.append(min(number[x], number[y]))
+                b.append(max(number[x], number[y]))
+    return pa.record_batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
 def near_groups(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -187,42 +253,27 @@ def near_groups(
 
     # Buckets with two members at least.
     held = written(single.select("row", "size", F.explode("bands").alias("bucket")), "bands")
-    full = held.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
+    full = held.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     held = written(held.join(full, "bucket"), "buckets")
-    near = held.select("row").distinct()
-    bag = written(bags(table.join(near, "row", "left_semi"), words), "bags")
-
-    place = None  # row -> component, of rows linked so far
-    links = tested = None
-    for turn in range(ROUNDS + 1):
-        now = held.withColumn("part", F.col("row"))
-        if place is not None:
-            now = held.join(place, "row", "left").withColumn("part", F.coalesce("root", "row")).drop("root")
-        # Buckets whose members are not all of one component.
-        open_ = now.groupBy("bucket").agg(
-            F.min("part").alias("least"), F.max("part").alias("most"),
-            F.min_by(F.struct("row", "part", "size"), F.xxhash64("bucket", "row")).alias("hub"),
-        ).filter("least < most").select("bucket", "hub")
-        now = now.join(open_, "bucket")
-        # The measure is at most the smaller size by the larger one.
-        if turn < ROUNDS:
-            hub = F.col("hub")
-            fits = F.least("size", hub["size"]) >= F.lit(similar) * F.greatest("size", hub["size"]) - 1e-9
-            star = now.filter((F.col("part") != hub["part"]) & fits)
-            pairs = star.select(F.least("row", hub["row"]).alias("a"), F.greatest("row", hub["row"]).alias("b")).distinct()
-        else:
-            one = now.select("bucket", F.col("row").alias("a"), F.col("part").alias("part_a"), F.col("size").alias("size_a"))
-            two = now.select("bucket", F.col("row").alias("b"), F.col("part").alias("part_b"), F.col("size").alias("size_b"))
-            fits = F.least("size_a", "size_b") >= F.lit(similar) * F.greatest("size_a", "size_b") - 1e-9
-            pairs = one.join(two, "bucket").filter((F.col("a") < F.col("b")) & (F.col("part_a") != F.col("part_b")) & fits)
-            pairs = pairs.select("a", "b").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        found = written(verified(pairs, bag, similar), "links")
-        tested = pairs if tested is None else tested.union(pairs)
-        links = found if links is None else links.union(found)
-        place = written(components(links).select(F.col("node").alias("row"), "root"), "components")
+    near = held.groupBy("row").agg(F.sum("n").alias("reach"))
+    bag = written(bags(table.join(near.select("row"), "row", "left_semi"), words), "bags")
+
+    # First round: each member against the member of its bucket that shares buckets with most others.
+    fits = F.least("size", F.col("hub.size")) >= F.lit(similar) * F.greatest("size", F.col("hub.size")) - 1e-9
+    led = held.join(near, "row")
+    hubs = led.groupBy("bucket").agg(F.max_by(F.struct("row", "size"), F.struct("reach", F.xxhash64("row"))).alias("hub"))
+    star = held.join(hubs, "bucket").filter((F.col("row") != F.col("hub.row")) & fits)
+    pairs = star.select(F.least("row", "hub.row").alias("a"), F.greatest("row", "hub.row").alias("b")).distinct()
+    links = written(verified(pairs, bag, similar), "links")
+    place = written(components(links).select(F.col("node").alias("row"), "root"), "components")
+
+    # Second round: what shares a bucket and still lies in different components, in tiles of bounded size.
+    now = held.join(place, "row", "left").select("row", "size", "bucket", "n", F.coalesce("root", "row").alias("part"))
+    parts = now.groupBy("bucket").agg(F.min("part").alias("least"), F.max("part").alias("most"))
+    now = now.join(parts.filter("least < most").select("bucket"), "bucket")
+    more = across(now, sketch.select("row", "bands"), bag, similar)
+    links = written(links.union(more), "links")
+    place = written(components(links).select(F.col("node").alias("row"), "root"), "components")
 
     # Class of a row: the component of its representative, or the representative itself.
     ids = table.select("row", "doc_id")

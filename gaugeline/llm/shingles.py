@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 
 # Characters of text that a task works on at a time (one text at least).
-SLICE = 2_000_000
+SLICE = 1_000_000
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
