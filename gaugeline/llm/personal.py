@@ -39,7 +39,7 @@ EVIDENCE = re.compile(r"[0-9@\[(]")
 WINDOW, STRIDE = 128, 64
 HIDDEN = 16
 # Documents whose text the tagger is trained on, about; steps and windows per step.
-SAMPLE, STEPS, BATCH = 600, 260, 48
+SAMPLE, STEPS, BATCH = 600, 450, 48
 SEED = 5
 # Mean posterior probability that an added span's tags must have.
 SURE = 0.8
