@@ -11,12 +11,17 @@ from gaugeline.session import drop_folder, shared_folder
 
 # The white space of the contracts, as characters of a pattern.
 SPACE = r"\x20\x09-\x0D"
+# Most rows of one integer that are broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 2_000_000
+# Folders that ``written`` made, in order, until they are removed.
+MADE: list[str] = []
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` as a table in the shared folder: cuts the lineage and survives lost executors."""
     path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    MADE.append(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -27,6 +32,16 @@ def forget(*tables: DataFrame) -> None:
             drop_folder(table.sparkSession, folder)
 
 
+def matching(table: DataFrame, rows: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows of ``table`` whose number is (``left_semi``) or is not (``left_anti``) in ``rows``, a written table of one column.
+
+    ``table`` is not shuffled as long as the numbers, counted first, are few enough to be broadcast.
+    """
+    if rows.count() <= BROADCAST_ROWS:
+        rows = F.broadcast(rows)
+    return table.join(rows, rows.columns[0], how)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it (columns differ by more than case)."""
     taken = {c.lower() for c in df.columns}

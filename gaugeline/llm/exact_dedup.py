@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import SPACE, fresh, numbered, written
+from gaugeline.llm.common import SPACE, fresh, matching, numbered, written
 
 BLOCK = 1024
 
@@ -128,5 +128,6 @@ def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", blo
     """``docs`` without the rows that repeat another row's text; the smallest id stays. Same columns."""
     row = fresh(docs, "row_number")
     table = numbered(docs, row)
-    stay = exact_groups(table, doc_id, text, row, block).filter("kept").select(F.col("row").alias(row))
-    return table.join(stay, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    groups = exact_groups(table, doc_id, text, row, block)
+    gone = written(groups.filter("NOT kept").select(F.col("row").alias(row)), "dropped")
+    return matching(table, gone, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import components, fresh, numbered, parts_for, written
+from gaugeline.llm.common import components, forget, fresh, matching, numbered, parts_for, written
 from gaugeline.llm.shingles import mix64, shingles, slices, word_hashes
 
 WORDS = 5
@@ -252,11 +252,12 @@ def near_groups(
     single = sketch.filter("size > 0").join(others, "row", "left_anti")
 
     # Buckets with two members at least.
-    held = written(single.select("row", "size", F.explode("bands").alias("bucket")), "bands")
-    full = held.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    held = written(held.join(full, "bucket"), "buckets")
-    near = held.groupBy("row").agg(F.sum("n").alias("reach"))
-    bag = written(bags(table.join(near.select("row"), "row", "left_semi"), words), "bags")
+    every = written(single.select("row", "size", F.explode("bands").alias("bucket")), "bands")
+    full = every.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    held = written(every.join(full, "bucket"), "buckets")
+    forget(every)
+    near = written(held.groupBy("row").agg(F.sum("n").alias("reach")), "reach")
+    bag = written(bags(matching(table, near.select("row")), words), "bags")
 
     # First round: each member against the member of its bucket that shares buckets with most others.
     fits = F.least("size", F.col("hub.size")) >= F.lit(similar) * F.greatest("size", F.col("hub.size")) - 1e-9
@@ -295,5 +296,6 @@ def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     """``docs`` with one row of each class of near duplicates, the first by id. Same columns."""
     row = fresh(docs, "row_number")
     table = numbered(docs, row)
-    stay = near_groups(table, doc_id, text, row, **how).filter("kept").select(F.col("row").alias(row))
-    return table.join(stay, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    groups = near_groups(table, doc_id, text, row, **how)
+    gone = written(groups.filter("NOT kept").select(F.col("row").alias(row)), "dropped")
+    return matching(table, gone, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import running, shared_folder
+from gaugeline.llm.common import running, written
 
 LIMIT = 1024
 END = 0
@@ -195,9 +195,7 @@ def tokens(docs: DataFrame, doc_id: str, text: str, vocabulary: str) -> DataFram
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
     encoded = source.mapInArrow(encode, f"row bigint, doc_id {kind}, curve bigint, length bigint, ids binary")
-    path = shared_folder(docs.sparkSession, "tokens")
-    encoded.write.option("compression", "zstd").parquet(path)
-    return docs.sparkSession.read.schema(encoded.schema).parquet(path)
+    return written(encoded, "tokens", "zstd")
 
 
 def _tail(total: int, limit: int) -> list[int]:
