@@ -1,47 +1,96 @@
-"""Arithmetic on doubles through DECIMAL, so that 0.1 + 0.2 is 0.3.
+"""Arithmetic on doubles as their decimal texts say, so that 0.1 + 0.2 is 0.3.
 
-``whole`` and ``scale`` say how many digits an operand has before and after the point. A double
-that needs more digits after the point is rounded HALF_UP to ``scale`` first.
+A double is the whole number of its digits (17 at most) times a power of ten. Results are formed
+on whole numbers in DECIMAL and turned back by that power, so any double is taken as it is written.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DIVISION_SCALE = 10  # fixed value: digits kept by a division
+# Fixed value: powers of ten that a number of 17 digits can be multiplied by within 38 digits.
+ROOM = 36
+
+
+def _parts(x: Column) -> tuple[Column, Column]:
+    """Digits as a whole number, and the power of ten they are multiplied by; NULL for NaN and infinities."""
+    text = x.cast("double").cast("string")
+    mantissa = F.substring_index(text, "E", 1)
+    power = F.when(text.contains("E"), F.substring_index(text, "E", -1)).otherwise("0").try_cast("int")
+    fraction = F.regexp_replace(F.substring_index(mantissa, ".", -1), "0+$", "")
+    whole = F.substring_index(mantissa, ".", 1)
+    return F.concat(whole, fraction).try_cast("decimal(18,0)"), power - F.length(fraction)
+
+
+def _ten(power: Column, most: int) -> Column:
+    """Ten to a power from 0 to ``most``; NULL outside."""
+    return F.get(F.array(*[F.lit(Decimal(10) ** n).cast("decimal(38,0)") for n in range(most + 1)]), power.cast("int"))
+
+
+def _double(digits: Column, power: Column) -> Column:
+    return F.concat(digits.cast("decimal(38,0)").cast("string"), F.lit("E"), power.cast("string")).cast("double")
+
+
+def _scaled(digits: Column, power: Column, most: int) -> Column:
+    return (digits.cast("decimal(18,0)") * _ten(power, most)).cast("decimal(38,0)")
 
 
-def _decimal(x: Column, whole: int, scale: int) -> Column:
-    return x.cast(f"decimal({whole + scale},{scale})")
+def _sum(a: Column, b: Column, sign: int) -> Column:
+    (m, e), (n, f) = _parts(a), _parts(b)
+    n = n * F.lit(sign)
+    low, high = F.least(e, f), F.greatest(e, f)
+    digits = F.length(F.abs(F.when(e >= f, m).otherwise(n)).cast("string"))
+    near = digits + high - low <= ROOM
+    up = [F.when(near, power - low) for power in (e, f)]
+    exact = _double((_scaled(m, up[0], ROOM) + _scaled(n, up[1], ROOM)).cast("decimal(38,0)"), low)
+    # Beyond the room the number of the lower power is far below the last digit of the other one.
+    larger = F.when(m == 0, _double(n, f)).when(n == 0, _double(m, e)).when(e > f, _double(m, e)).otherwise(_double(n, f))
+    plain = a.cast("double") + b.cast("double") * F.lit(float(sign))
+    return F.when(m.isNull() | n.isNull(), plain).when(near, exact).otherwise(larger)
 
 
-def add(a: Column, b: Column, whole: int = 12, scale: int = 6) -> Column:
-    return (_decimal(a, whole, scale) + _decimal(b, whole, scale)).cast("double")
+def add(a: Column, b: Column) -> Column:
+    return _sum(a, b, 1)
 
 
-def subtract(a: Column, b: Column, whole: int = 12, scale: int = 6) -> Column:
-    return (_decimal(a, whole, scale) - _decimal(b, whole, scale)).cast("double")
+def subtract(a: Column, b: Column) -> Column:
+    return _sum(a, b, -1)
 
 
-def multiply(a: Column, b: Column, whole: int = 12, scale: int = 6) -> Column:
-    return (_decimal(a, whole, scale) * _decimal(b, whole, scale)).cast("double")
+def multiply(a: Column, b: Column) -> Column:
+    (m, e), (n, f) = _parts(a), _parts(b)
+    product = _double((m.cast("decimal(18,0)") * n.cast("decimal(18,0)")).cast("decimal(38,0)"), e + f)
+    return F.when(m.isNull() | n.isNull(), a.cast("double") * b.cast("double")).otherwise(product)
 
 
-def divide(
-    a: Column, b: Column, digits: int = DIVISION_SCALE, whole: int = 10, scale: int = 6
-) -> Column:
-    """Quotient rounded HALF_UP to ``digits``; NULL when ``b`` is zero.
+def divide(a: Column, b: Column, digits: int = DIVISION_SCALE) -> Column:
+    """Quotient rounded HALF_UP to ``digits`` after the point; NULL when ``b`` is zero.
 
-    Spark rounds a decimal quotient to the scale of its result type, and rounding that once more
-    could tip over a half. So the dividend's precision is chosen such that the result type has
-    exactly ``digits`` digits. That cannot be fewer than six; below, the digits in between suffice
-    to tell a half from its neighbours.
+    A quotient of so many digits that a double cannot hold them all is the double next to it.
     """
-    room = 38 - digits
-    if digits < 0 or whole + scale > room or (digits < 6 and 2 * (whole + scale) + digits >= 38):
-        raise ValueError("digits must be 0 or more, and whole + scale + digits small enough for 38")
-    divisor = F.nullif(_decimal(b, whole, scale), F.lit(0))
-    if digits < 6:
-        return F.round(_decimal(a, whole, scale) / divisor, digits).cast("double")
-    return (a.cast(f"decimal({room},{scale})") / divisor).cast("double")
+    if digits < 0:
+        raise ValueError("digits must be 0 or more")
+    (m, e), (n, f) = _parts(a), _parts(b)
+    power = e - f + digits
+    # Digits of the quotient as a whole number; a double doesn't hold more than 17 of them.
+    length = F.length(F.abs(m).cast("string")) + power - F.length(F.abs(n).cast("string"))
+    near = (length <= 19) & (power >= -18)
+    top = F.abs(_scaled(m, F.when(near, F.greatest(power, F.lit(0))), 36))
+    under = F.abs(_scaled(n, F.when(near, F.greatest(-power, F.lit(0))), 18))
+    # Exact: the dividend less its rest, and one more where twice the rest reaches the divisor.
+    rest = (top % under).cast("decimal(38,0)")
+    count = ((top - rest).cast("decimal(38,0)") / under.cast("decimal(38,0)")).cast("decimal(30,0)")
+    count = count + F.when(rest >= under - rest, 1).otherwise(0)
+    sign = F.when((m < 0) != (n < 0), -1).otherwise(1)
+    exact = _double(count * sign, F.lit(-digits))
+    plain = F.try_divide(a.cast("double"), b.cast("double"))
+    return (
+        F.when(b.cast("double") == 0, F.lit(None).cast("double"))
+        .when(m.isNull() | n.isNull() | (length > 19), plain)
+        .when(power < -18, F.lit(0.0))
+        .otherwise(exact)
+    )

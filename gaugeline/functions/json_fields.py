@@ -37,33 +37,34 @@ def date_field(doc: Column, name: str) -> Column:
     return F.timestamp_millis(F.nullif(ms, F.lit(-1).cast("bigint")))
 
 
-def drop_fields(doc: Column, schema: T.StructType, fields: Sequence[str]) -> Column:
+OBJECT = T.MapType(T.StringType(), T.VariantType())
+
+
+def drop_fields(doc: Column, fields: Sequence[str]) -> Column:
     """The document without ``fields``; a dot reaches into a nested object.
 
-    The nested layout must be known (``schema``); absent fields stay absent.
+    All other fields stay, known or not, nulls included; absent ones stay absent. NULL where the text is no object.
     """
-    return F.to_json(_without(F.from_json(doc, schema), schema, fields))
+    return F.to_json(_without(F.from_json(doc, OBJECT), fields))
 
 
-def _without(value: Column, schema: T.StructType, fields: Sequence[str]) -> Column:
+def _without(entries: Column, fields: Sequence[str]) -> Column:
     nested: dict[str, list[str]] = defaultdict(list)
-    gone = set()
     for field in fields:
         head, dot, rest = field.partition(".")
         if dot:
             nested[head].append(rest)
-        else:
-            gone.add(head)
-    kept = []
-    for f in schema.fields:
-        if f.name in gone:
-            continue
-        member = value[f.name]
-        if f.name in nested and isinstance(f.dataType, T.StructType):
-            inner = _without(member, f.dataType, nested[f.name])
-            member = F.when(member.isNotNull(), inner)
-        kept.append(member.alias(f.name))
-    return F.struct(*kept)
+    gone = [f for f in fields if "." not in f]
+    kept = F.map_filter(entries, lambda k, _: ~k.isin(*gone)) if gone else entries
+
+    def changed(k: Column, v: Column) -> Column:
+        out = F.when(F.lit(False), v)
+        for head, rest in nested.items():
+            inner = F.try_variant_get(v, "$", "map<string,variant>")
+            out = out.when((k == head) & inner.isNotNull(), F.to_variant_object(_without(inner, rest)))
+        return out.otherwise(v)
+
+    return F.transform_values(kept, changed) if nested else kept
 
 
 def drop_top_fields(doc: Column, fields: Sequence[str]) -> Column:
@@ -71,5 +72,5 @@ def drop_top_fields(doc: Column, fields: Sequence[str]) -> Column:
 
     Values are kept as raw JSON through VARIANT, so numbers, texts and nested objects survive.
     """
-    entries = F.from_json(doc, T.MapType(T.StringType(), T.VariantType()))
+    entries = F.from_json(doc, OBJECT)
     return F.to_json(F.map_filter(entries, lambda k, _: ~k.isin(*fields)))

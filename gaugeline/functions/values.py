@@ -33,19 +33,32 @@ def strip_prefix(raw: Column, n: int) -> Column:
     return F.substr(raw, F.lit(n + 1))
 
 
+def less(a: Column, b: Column) -> Column:
+    """``a < b`` as numbers: false where one of them is NaN, which Spark orders above all others."""
+    return (a < b) & ~F.isnan(a) & ~F.isnan(b)
+
+
 def limit_ok(v: Column, lower: Column, upper: Column) -> Column:
     """Strictly between the bounds; NULL where a bound is missing or not a number."""
-    return (lower.try_cast("double") < v) & (v < upper.try_cast("double"))
+    return less(lower.try_cast("double"), v) & less(v, upper.try_cast("double"))
 
 
 def limit_outside(v: Column, lower: Column, upper: Column) -> Column:
     """Beyond a bound. A value on the bound is not outside, though it is not ``limit_ok`` either."""
-    return (lower.try_cast("double") > v) | (v > upper.try_cast("double"))
+    return less(v, lower.try_cast("double")) | less(upper.try_cast("double"), v)
 
 
 def switch_ok(v: Column, default: Column) -> Column:
-    """Same whole number as the default position; both are cut toward zero."""
-    return v.try_cast("int") == default.try_cast("double").try_cast("int")
+    """Same whole number as the default position; both are cut toward zero.
+
+    As whole numbers of 32 bits: what lies beyond becomes the nearest one, NaN becomes 0.
+    """
+    return _cut(v.try_cast("double")) == _cut(default.try_cast("double"))
+
+
+def _cut(x: Column) -> Column:
+    inside = F.greatest(F.least(x, F.lit(2147483647.0)), F.lit(-2147483648.0)).cast("int")
+    return F.when(x.isNull(), None).when(F.isnan(x), 0).otherwise(inside)
 
 
 def relative_change(v: Column, before: Column) -> Column:

@@ -5,6 +5,7 @@ whose stream form is ``sliding_last_stream``."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,23 +18,22 @@ def with_event_time(readings: DataFrame) -> DataFrame:
     return readings.withColumn("event_time", event_time(F.col("t")))
 
 
-def _latest(value: str, length_ms: int, tie: str | None, tie_below: int | None) -> Column:
-    """Value at the latest ``t`` of a window; among equal times at the highest ``tie``.
+# What makes any BIGINT a tie of 0 or more, and what is above all such ties.
+TIE_SHIFT = 2**63
+TIE_ROOM = 10**20
+
+
+def _latest(value: str, length_ms: int, tie: str | None) -> Column:
+    """Value at the latest ``t`` of a window; among equal times at the highest ``tie``, a whole number.
 
     Ordering by a struct makes Spark sort the rows instead of hashing them (three times slower here), so
-    where ``0 <= tie < tie_below`` is promised and fits, place in the window and tie are packed into
-    one BIGINT. A broken promise fails the job rather than the result.
+    place in the window and tie are packed into one DECIMAL, which holds any tie. A missing tie is the lowest.
     """
     if tie is None:
         return F.max_by(value, "t")
-    if tie_below is None or length_ms * tie_below >= 2**63:
-        return F.max_by(value, F.struct("t", tie))
-    t, tied = F.col("t"), F.col(tie)
-    packed = F.pmod(t, F.lit(length_ms).cast("bigint")) * F.lit(tie_below).cast("bigint") + tied
-    checked = F.when((tied >= 0) & (tied < tie_below), packed).otherwise(
-        F.raise_error(F.lit(f"{tie} is not in [0, {tie_below})")).cast("bigint")
-    )
-    return F.max_by(value, checked)
+    place = F.pmod(F.col("t"), F.lit(length_ms).cast("bigint")).cast("decimal(17,0)")
+    tied = F.coalesce(F.col(tie).cast("bigint").cast("decimal(20,0)") + F.lit(Decimal(TIE_SHIFT)), F.lit(Decimal(0)))
+    return F.max_by(value, (place * F.lit(Decimal(TIE_ROOM)) + tied).cast("decimal(38,0)"))
 
 
 def _tumbling(
@@ -61,10 +61,9 @@ def window_last(
     length: str = "1 minute",
     keys: Sequence[str] = ("uri",),
     tie: str | None = None,
-    tie_below: int | None = None,
 ) -> DataFrame:
     """Last value per window, labelled by the window's end (epoch ms)."""
-    last = _latest("v", span_millis(length), tie, tie_below)
+    last = _latest("v", span_millis(length), tie)
     return _tumbling(readings, keys, length, {"v": last}).select(*keys, "v", F.col("window_end").alias("t"))
 
 
@@ -81,23 +80,48 @@ def window_last_ingest(
     length: str = "1 minute",
     keys: Sequence[str] = ("uri",),
     tie: str | None = None,
-    tie_below: int | None = None,
 ) -> DataFrame:
     """Last value per window together with the earliest ingest time ``st``."""
-    last = _latest("v", span_millis(length), tie, tie_below)
+    last = _latest("v", span_millis(length), tie)
     out = _tumbling(readings, keys, length, {"v": last, "st": F.min("st")})
     return out.select(*keys, "v", F.col("window_end").alias("t"), "st")
 
 
+def window_parts(
+    readings: DataFrame, length: str, keys: Sequence[str], how: str, tie: str | None = None
+) -> DataFrame:
+    """Per window what ``merge_parts`` needs to put several points together, labelled by the window's end.
+
+    ``avg``: ``sum_v, n``; ``last``: ``v`` and its place in time ``at``; ``last_ingest``: also ``st``.
+    """
+    last = {"v": _latest("v", span_millis(length), tie), "at": F.max("t")}
+    aggs = {
+        "avg": {"sum_v": F.sum("v"), "n": F.count("v")},
+        "last": last,
+        "last_ingest": {**last, "st": F.min("st")},
+    }
+    if how not in aggs:
+        raise ValueError("how must be 'last', 'avg' or 'last_ingest'")
+    out = _tumbling(readings, keys, length, aggs[how])
+    return out.select(*keys, *aggs[how], F.col("window_end").alias("t"))
+
+
+def merge_parts(parts: DataFrame, by: Sequence[str], how: str, order: Sequence[str] = ()) -> DataFrame:
+    """``by`` and the value of all parts together; of equal times the part with the highest ``order`` counts."""
+    if how == "avg":
+        return parts.groupBy(*by).agg((F.sum("sum_v") / F.sum("n")).alias("v"))
+    extra = [F.min("st").alias("st")] if how == "last_ingest" else []
+    return parts.groupBy(*by).agg(F.max_by("v", F.struct("at", *order)).alias("v"), *extra)
+
+
 def window_last_point(
     readings: DataFrame,
     length: str = "1 minute",
     keys: Sequence[str] = ("point_id",),
     tie: str | None = None,
-    tie_below: int | None = None,
 ) -> DataFrame:
     """Last value and its time per window and point, with the window and the day it starts in."""
-    last = _latest("v", span_millis(length), tie, tie_below)
+    last = _latest("v", span_millis(length), tie)
     out = _tumbling(readings, keys, length, {"last_v": last, "last_t": F.max("t")})
     return out.withColumn("day", day_text(F.col("window_start")))
 
@@ -107,11 +131,10 @@ def window_running(
     length: str = "1 minute",
     keys: Sequence[str] = ("id",),
     tie: str | None = None,
-    tie_below: int | None = None,
 ) -> DataFrame:
     """Sum, average and last value per point and window; on a stream in update mode, one row per
     window touched by the batch."""
-    last = _latest("v", span_millis(length), tie, tie_below)
+    last = _latest("v", span_millis(length), tie)
     out = _tumbling(readings, keys, length, {"sum_v": F.sum("v"), "avg_v": F.avg("v"), "last_v": last})
     return out.drop("window_end")
 
@@ -122,7 +145,6 @@ def sliding_last(
     window_ms: int = 60_000,
     slide_ms: int = 1_000,
     tie: str | None = None,
-    tie_below: int | None = None,
 ) -> DataFrame:
     """Last value and its time in every window ``[s, s + window_ms)``, ``s`` a multiple of the slide.
 
@@ -135,7 +157,7 @@ def sliding_last(
         raise ValueError("the window must be a whole number of slides")
     panes = (
         readings.groupBy(*keys, floor_to(F.col("t"), slide_ms).alias("pane"))
-        .agg(_latest("v", slide_ms, tie, tie_below).alias("last_v"), F.max("t").alias("last_t"))
+        .agg(_latest("v", slide_ms, tie).alias("last_v"), F.max("t").alias("last_t"))
     )
     linked = with_neighbours(panes, keys, "pane", ())
     final = F.col("pane") + slide_ms - window_ms  # the earliest window holding the pane starts here
@@ -154,6 +176,6 @@ def sliding_last_stream(
     """``sliding_last`` as one streaming aggregate."""
     out = (
         readings.groupBy(F.window("event_time", length, slide).alias("w"), *keys)
-        .agg(_latest("v", span_millis(length), tie, None).alias("last_v"), F.max("t").alias("last_t"))
+        .agg(_latest("v", span_millis(length), tie).alias("last_v"), F.max("t").alias("last_t"))
     )
     return out.select(*keys, F.unix_millis("w.start").alias("window_start"), "last_v", "last_t")

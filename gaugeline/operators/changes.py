@@ -38,33 +38,39 @@ def change_log(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def apply_changes(
-    base: DataFrame, log: DataFrame, key: Sequence[str], order: Sequence[str] = ("batch_id",)
+    base: DataFrame, log: DataFrame, key: Sequence[str], order: Sequence[str] | None = None
 ) -> DataFrame:
-    """``base`` after the changes, the latest per key (by ``order``) deciding.
+    """``base`` after the changes of each key, one after the other in ``order``.
 
-    Replaying a change, or a whole batch of them, changes nothing. An insert leaves an existing row
-    alone unless a delete came before it; an update without a row to update has no effect.
+    An insert of a present row does nothing, nor does an update or delete of an absent one. ``order`` is
+    ``batch_id`` and, where the log has it, ``seq``; changes of one place in it count as delete, insert, update.
+    Replaying a change, or a whole batch of them, changes nothing.
+
+    No key's changes are gathered. What happens to a key follows from its last delete, the first insert after it,
+    and its last update, if that comes later than both (or than the delete, where ``base`` holds the row).
     """
+    order = order or [c for c in ("batch_id", "seq") if c in log.columns]
     columns = base.columns
     values = [c for c in columns if c not in key]
-    latest = log.groupBy(*key).agg(
-        F.max_by(F.struct("op", *values), F.struct(*order)).alias("last"),
-        F.max(F.col("op") == INSERT).alias("inserted"),
-        F.max(F.col("op") == DELETE).alias("deleted"),
+    op = F.col("op")
+    rank = F.when(op == DELETE, 0).when(op == INSERT, 1).otherwise(2)
+    moves = log.select(*key, "op", F.struct(*order, rank.alias("rank")).alias("at"), F.struct(*values).alias("row"))
+    marks = moves.groupBy(*key).agg(
+        F.max(F.when(op == DELETE, F.col("at"))).alias("gone"),
+        F.max(F.when(op == UPDATE, F.col("at"))).alias("updated"),
+        F.max_by("row", F.when(op == UPDATE, F.col("at"))).alias("update"),
     )
+    after = F.col("gone").isNull() | (F.col("at") > F.col("gone"))
+    inserts = moves.filter(op == INSERT).join(marks.select(*key, "gone"), list(key)).filter(after)
+    inserts = inserts.groupBy(*key).agg(F.min("at").alias("inserted"), F.min_by("row", "at").alias("insert"))
     present = base.select(*key, F.struct(F.lit(True).alias("here"), *values).alias("now"))
-    op, now = F.col("last.op"), F.col("now.here").isNotNull()
-    keep_base = op.isNull() | ((op == INSERT) & now & ~F.col("deleted"))
-    alive = F.coalesce((op == INSERT) | ((op == UPDATE) & (now | F.col("inserted"))), now)
-    return (
-        present.join(latest, list(key), "full_outer")
-        .filter(alive)
-        .select(
-            *[
-                F.col(c)
-                if c in key
-                else F.when(keep_base, F.col(f"now.{c}")).otherwise(F.col(f"last.{c}")).alias(c)
-                for c in columns
-            ]
-        )
+    known = marks.join(inserts, list(key), "left")
+    both = present.join(known, list(key), "full_outer")
+    stays = F.col("now.here").isNotNull() & F.col("gone").isNull()
+    since = F.when(stays, F.lit(None)).otherwise(F.col("inserted"))
+    newer = F.col("updated").isNotNull() & (F.col("gone").isNull() | (F.col("updated") > F.col("gone")))
+    holds = newer & (stays | (F.col("updated") > since))
+    held = {c: F.when(holds, F.col(f"update.{c}")).when(stays, F.col(f"now.{c}")).otherwise(F.col(f"insert.{c}")) for c in values}
+    return both.filter(stays | F.col("inserted").isNotNull()).select(
+        *[F.col(c) if c in key else held[c].alias(c) for c in columns]
     )

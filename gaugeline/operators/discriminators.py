@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gaugeline.functions.values import limit_outside, switch_ok
+from gaugeline.functions.values import less, limit_outside, switch_ok
 
 
 @dataclass(frozen=True)
@@ -39,14 +39,14 @@ def _switch(reading: Column, before: Column) -> Column:
 
 
 def _cumulative(reading: Column, before: Column) -> Column:
-    return reading["v"] < before["v"]
+    return less(reading["v"], before["v"])
 
 
 def _amplitude(reading: Column, before: Column) -> Column:
     v, prev, amp = reading["v"], before["v"], reading["amp"].try_cast("double")
     change = F.try_divide(v - prev, prev)
     # No relative change can be told after a zero: abnormal, as long as the point has a rule.
-    return F.when(prev == 0, amp.isNotNull()).otherwise((change > amp) | (change < -amp))
+    return F.when(prev == 0, amp.isNotNull()).otherwise(less(amp, change) | less(change, -amp))
 
 
 RULES: dict[str, Discriminator] = {

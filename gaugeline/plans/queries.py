@@ -36,8 +36,10 @@ HOUR, DAY = times.HOUR_MS, times.DAY_MS
 DATA_START = 1_704_067_200_000
 NOW = 1_706_659_200_000
 REGIONS = 100
-# Event ids break ties of time; they count up from 0.
-TIE = {"tie": "seq", "tie_below": 2**36}
+# Files of a micro-batch of the stream queries.
+FILES_PER_BATCH = 1000
+# Event ids break ties of time.
+TIE = {"tie": "seq"}
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -66,7 +68,7 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{sf_dir}/events.parquet"
     layout = spark.read.parquet(path).schema
     # A pattern, since a file source takes a folder or a pattern and the table may be a single file.
-    return views.readings_of(src.open_stream(spark, "parquet", layout, f"{path}*"))
+    return views.readings_of(src.open_stream(spark, "parquet", layout, f"{path}*", per_trigger=FILES_PER_BATCH))
 
 
 def _messages(readings: DataFrame) -> DataFrame:
@@ -662,7 +664,7 @@ def _stream_minutes(how: str) -> Query:
             length="1 hour",
             drain=True,
         ).awaitTermination()
-        table = keyed_table.read(spark, f"{path}/table")
+        table = keyed_table.read_parts(spark, f"{path}/table", how)
         return table.select("row_key", "uri", "t", F.round("v", 9).alias("v"))
 
     return build
@@ -673,18 +675,20 @@ query("watermark_hour_avg")(_stream_minutes("avg"))
 
 @query("stream_sliding_last")
 def stream_sliding_last(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sliding window as a streaming aggregate, in complete mode."""
+    """The sliding window as a streaming aggregate in update mode; the newest row of a window holds."""
     path = shared_folder(spark, "sliding")
     readings = aggregates.with_event_time(_event_stream(spark, sf_dir))
     windows = aggregates.sliding_last_stream(readings, ("point_id",), "1 hour", "20 minutes", tie="seq")
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/rows/{batch_id % 2}")
+        batch.write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
 
     write_stream(
-        windows, "foreach_batch", f"{path}/checkpoint", "complete", drain=True, write=keep
+        windows, "foreach_batch", f"{path}/checkpoint", "update", drain=True, write=keep
     ).awaitTermination()
-    return spark.read.parquet(f"{path}/rows/0")
+    rows = spark.read.schema(T.StructType([*windows.schema, T.StructField("batch_id", T.LongType())])).parquet(f"{path}/rows")
+    newest = [F.max_by(c, "batch_id").alias(c) for c in ("last_v", "last_t")]
+    return rows.groupBy("point_id", "window_start").agg(*newest)
 
 
 # ---- jobs over columns -----------------------------------------------------------------------
@@ -820,14 +824,6 @@ def json_field_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("json_drop_fields")
 def json_drop_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inner = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
-    layout = T.StructType(
-        [
-            T.StructField("id", T.LongType()),
-            T.StructField("kind", T.StringType()),
-            T.StructField("inner", inner),
-        ]
-    )
     document = F.to_json(
         F.struct(
             F.col("event_id").alias("id"),
@@ -839,6 +835,6 @@ def json_drop_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     doc = F.col("document")
     return rows.select(
         "event_id",
-        json_fields.drop_fields(doc, layout, ["kind", "inner.b"]).alias("nested"),
+        json_fields.drop_fields(doc, ["kind", "inner.b"]).alias("nested"),
         json_fields.drop_top_fields(doc, ["inner", "kind"]).alias("flat"),
     )

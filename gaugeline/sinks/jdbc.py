@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
+from itertools import islice
 from typing import Any
 
 from pyspark.sql import DataFrame, DataFrameWriter, Row
@@ -35,11 +36,13 @@ def append_rows(df: DataFrame, columns: dict[str, str], url: str, table: str, **
     append(layout(df, columns), url, table, **options)
 
 
-def statements(table: str, key: Sequence[str], values: Sequence[str]) -> dict[int, tuple[str, list[str]]]:
-    """Per operation the statement (``?`` parameters) and the columns that fill it."""
+def statements(
+    table: str, key: Sequence[str], values: Sequence[str], mark: str = "?"
+) -> dict[int, tuple[str, list[str]]]:
+    """Per operation the statement and the columns that fill its parameters, written as ``mark``."""
     columns = [*key, *values]
-    at_key = " AND ".join(f"{c} = ?" for c in key)
-    marks = ", ".join("?" for _ in columns)
+    at_key = " AND ".join(f"{c} = {mark}" for c in key)
+    marks = ", ".join(mark for _ in columns)
     return {
         INSERT: (
             f"INSERT INTO {table} ({', '.join(columns)}) VALUES ({marks}) "
@@ -47,7 +50,7 @@ def statements(table: str, key: Sequence[str], values: Sequence[str]) -> dict[in
             columns,
         ),
         UPDATE: (
-            f"UPDATE {table} SET {', '.join(f'{c} = ?' for c in values)} WHERE {at_key}",
+            f"UPDATE {table} SET {', '.join(f'{c} = {mark}' for c in values)} WHERE {at_key}",
             [*values, *key],
         ),
         DELETE: (f"DELETE FROM {table} WHERE {at_key}", list(key)),
@@ -60,28 +63,25 @@ def apply_changes(
     table: str,
     key: Sequence[str],
     commit_size: int = COMMIT_SIZE,
+    mark: str = "?",
 ) -> None:
-    """Run a change log (one change per key) against a database.
+    """Run a change log (one change per key) against a database, a statement per operation and commit.
 
     ``connect`` opens a DB-API connection on the executor, one per partition. Every statement
     is safe to repeat, so a retried task or batch does no harm.
     """
     values = [c for c in changes.columns if c not in (*key, "op", "batch_id")]
-    plan = statements(table, key, values)
+    plan = statements(table, key, values, mark)
 
     def write(rows: Iterable[Row]) -> None:
-        connection = None
-        pending = 0
+        rows, connection = iter(rows), None
         try:
-            for row in rows:
+            # Changes of a commit touch different keys, so those of one operation go together.
+            while batch := list(islice(rows, commit_size)):
                 connection = connection or connect()
-                text, columns = plan[row["op"]]
-                connection.cursor().execute(text, [row[c] for c in columns])
-                pending += 1
-                if pending == commit_size:
-                    connection.commit()
-                    pending = 0
-            if connection is not None:
+                for op, (text, columns) in plan.items():
+                    if own := [[row[c] for c in columns] for row in batch if row["op"] == op]:
+                        connection.cursor().executemany(text, own)
                 connection.commit()
         except Exception:
             if connection is not None:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from gaugeline.functions import keys
 from gaugeline.functions.times import event_time
+from gaugeline.operators.aggregates import merge_parts
 
 
 def with_row_key(windowed: DataFrame, regions: int = 100) -> DataFrame:
@@ -56,6 +57,17 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return latest(spark.read.parquet(path))
 
 
+def read_parts(spark: SparkSession, path: str, how: str) -> DataFrame:
+    """A table whose rows have a part per point: the newest of each part, then the value of all parts of a key.
+
+    Of parts with the same last time the one with the highest name counts.
+    """
+    puts = spark.read.parquet(path)
+    folders = [c for c in ("salt", "year") if c in puts.columns]
+    newest = latest(puts.withColumn("_key", F.struct("row_key", "part")), "_key")
+    return merge_parts(newest, ["row_key", *folders, "uri", "t"], how, ["part"])
+
+
 def compact(spark: SparkSession, path: str, target: str, partitions: Sequence[str] = ("salt",)) -> None:
     """Write the merged table as batch 0 of a new place."""
     put(read(spark, path), target, 0, partitions)

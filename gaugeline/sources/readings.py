@@ -16,17 +16,23 @@ def open_stream(
     kind: str = "kafka",
     schema: T.StructType | None = None,
     path: str | None = None,
+    *,
+    per_trigger: int | None,
     **options: str,
 ) -> DataFrame:
     """A stream of messages: ``kafka`` in production, a file format elsewhere.
 
-    Kafka gets the usual guards unless overridden: a cap on offsets per trigger and failing on
-    lost data. File sources cap files per trigger.
+    ``per_trigger`` caps the offsets (Kafka) or files of a micro-batch and must be chosen: the state of a batch has to
+    fit its time. ``None`` takes all there is. Kafka fails on lost data unless told otherwise.
     """
     if kind == "kafka":
-        settings = {"maxOffsetsPerTrigger": "1000", "failOnDataLoss": "true", **options}
+        settings = {"failOnDataLoss": "true", **options}
+        if per_trigger is not None:
+            settings["maxOffsetsPerTrigger"] = str(per_trigger)
         return spark.readStream.format("kafka").options(**settings).load()
-    reader = spark.readStream.format(kind).options(**{"maxFilesPerTrigger": "1000", **options})
+    reader = spark.readStream.format(kind).options(**options)
+    if per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", str(per_trigger))
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)

@@ -72,10 +72,9 @@ def rule_id(gateway_id: Column, point_id: Column) -> Column:
 
 
 def fits_broadcast(small: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Whether a table is proven small: counted and weighed, reading no more than ``rows + 1`` rows."""
+    """Whether a table is proven small: counted and weighed by one aggregate over all of it."""
     weight = reduce(add, [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in small.columns])
-    head = small.limit(rows + 1).agg(F.count("*").alias("n"), F.sum(weight + 16 * len(small.columns)).alias("size"))
-    found = head.first()
+    found = small.agg(F.count("*").alias("n"), F.sum(weight + 16 * len(small.columns)).alias("size")).first()
     return found["n"] <= rows and (found["size"] or 0) <= size
 
 
@@ -93,7 +92,7 @@ def lookup(facts: DataFrame, small: DataFrame, key: Column, small_key: str, how:
         return facts.join(F.broadcast(wanted), key == wanted["_key"], how).drop("_key")
     parts = F.sequence(F.lit(0), F.lit(SPREAD - 1))
     wanted = wanted.withColumn("_part", F.explode(parts))
-    spread = facts.withColumn("_own_key", key).withColumn("_own_part", F.monotonically_increasing_id() % SPREAD)
+    spread = facts.withColumn("_own_key", key).withColumn("_own_part", F.pmod(F.xxhash64(*facts.columns), F.lit(SPREAD)))
     on = (spread["_own_key"] == wanted["_key"]) & (spread["_own_part"] == wanted["_part"])
     return spread.join(wanted, on, how).drop("_own_key", "_own_part", "_key", "_part")
 

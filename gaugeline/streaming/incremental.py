@@ -48,12 +48,24 @@ class _Tail:
     def load(self, spark: SparkSession, batch_id: int) -> tuple[DataFrame | None, int | None]:
         """(tail, latest event time) after the batch before ``batch_id``."""
         if batch_id == 0:
+            self._refuse_foreign(spark)
             return None, None
         mark = spark.read.parquet(self._slot("mark", batch_id - 1)).first()
         if mark["batch_id"] != batch_id - 1:
             raise RuntimeError(f"expected the state of batch {batch_id - 1}, found {mark['batch_id']}")
         return spark.read.parquet(self._slot("tail", batch_id - 1)), mark["latest"]
 
+    def _refuse_foreign(self, spark: SparkSession) -> None:
+        """Batch 0 may repeat itself, but not begin over the folder of a stream that went further."""
+        for slot in (0, 1):
+            path = self._slot("mark", slot)
+            hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+            if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+                continue
+            mark = spark.read.parquet(path).first()
+            if mark is not None and mark["batch_id"] > 0:
+                raise RuntimeError(f"{self.root} holds batch {mark['batch_id']} of another run: use a new folder")
+
     def save(self, tail: DataFrame, batch_id: int, latest: int | None) -> None:
         tail.hint("rebalance").write.mode("overwrite").parquet(self._slot("tail", batch_id))
         mark = tail.sparkSession.range(1, numPartitions=1).select(
@@ -78,7 +90,9 @@ class _Incremental:
     def _accept(
         self, batch: DataFrame, tail: DataFrame | None, latest: int | None, batch_id: int
     ) -> tuple[DataFrame, int | None]:
-        """(new readings, latest event time including them); rows beyond the watermark go to ``late``."""
+        """(new readings, latest event time including them); rows beyond the watermark go to ``late``.
+
+        The new readings are kept in memory or on disk until the caller lets them go; what they are made of is not."""
         unique = first_arrivals(batch, ("id", "t"), self.order, [c for c in self.columns if c != "t"])
         unique = unique.select("id", *self.columns).persist()
         fresh = unique
@@ -90,6 +104,7 @@ class _Incremental:
             fresh = fresh.join(tail.select("id", "t"), ["id", "t"], "left_anti")
         fresh = fresh.persist()
         seen = fresh.agg(F.max("t")).first()[0]
+        self.held = unique
         known = [x for x in (latest, seen) if x is not None]
         return fresh, max(known) if known else None
 
@@ -139,7 +154,12 @@ class IncrementalRuns(_Incremental):
             if self.drop_late:
                 last = tail.select("id", F.col("t").alias("last_t"))
                 new = new.join(last, "id", "left").filter("last_t IS NULL OR t > last_t").drop("last_t")
-            touched = new.select("id").distinct()
+            touched = new.select("id")
+            if latest is not None and not self.drop_late:
+                # Silent points too, once more than their anchor lies below the watermark.
+                below = tail.filter(F.col("t") < latest - self.tail.delay_ms)
+                touched = touched.union(below.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id"))
+            touched = touched.distinct()
             old = tail.join(touched, "id", "left_semi").withColumn("fresh", F.lit(False))
             rest = tail.join(touched, "id", "left_anti")
 
@@ -170,7 +190,7 @@ class IncrementalRuns(_Incremental):
             self.on_normal(after.filter("fresh AND NOT abnormal"), batch_id)
         kept = self._evict(after, latest)
         self.tail.save(kept if rest is None else kept.unionByName(rest), batch_id, latest)
-        for cached in (points, ranges, annotated, fresh):
+        for cached in (points, ranges, annotated, fresh, self.held):
             cached.unpersist()
 
     def _evict(self, annotated: DataFrame, latest: int | None) -> DataFrame:
@@ -238,8 +258,8 @@ class IncrementalMovingAvg(_Incremental):
         if latest is not None:
             known = known.filter(F.col("t") >= latest - self.tail.delay_ms - self.window)
         self.tail.save(known, batch_id, latest)
-        rows.unpersist()
-        fresh.unpersist()
+        for cached in (rows, fresh, self.held):
+            cached.unpersist()
 
     def table(self, spark: SparkSession) -> DataFrame:
         """The average of every reading as of the last batch."""

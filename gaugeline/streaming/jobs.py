@@ -89,31 +89,28 @@ def minute_values(
     length: str = "1 minute",
     regions: int = 100,
     by_year: bool = False,
+    tie: str | None = None,
     every: str | None = None,
     drain: bool = False,
 ) -> StreamingQuery:
-    """Messages -> one value per point and window -> keyed table, in update mode.
+    """Messages -> values per point and window -> keyed table of parts, in update mode.
 
     Aggregated per point first and bound to rules afterwards: the join then sees window rows rather
-    than readings, and its rules may change while the stream runs.
+    than readings, and its rules may change while the stream runs. Points may share a uri, so the table holds a
+    part per point; ``keyed_table.read_parts`` puts them together. ``tie`` names a column that decides between
+    readings of one time.
     """
     readings = with_watermark(clean(parse_array(messages)), delay)
     keyed = readings.withColumn("id", rule_id(F.col("gateway_id"), F.col("point_id")))
     keys = ("gateway_id", "point_id")
-    if how == "last":
-        values = aggregates.window_last(keyed, length, keys)
-    elif how == "avg":
-        values = aggregates.window_avg(keyed, length, keys)
-    elif how == "last_ingest":
-        values = aggregates.window_last_ingest(keyed, length, keys)
-    else:
-        raise ValueError("how must be 'last', 'avg' or 'last_ingest'")
+    values = aggregates.window_parts(keyed, length, keys, how, tie)
+    parts = [c for c in values.columns if c not in (*keys, "t")]
     put = keyed_table.put_by_year if by_year else keyed_table.put
 
     def step(batch: DataFrame, batch_id: int) -> None:
         bound, _ = split_bound(join_rules(batch, rules(batch.sparkSession)))
-        columns = ["uri", "v", "t", *(["st"] if how == "last_ingest" else [])]
-        put(keyed_table.with_row_key(bound.select(*columns), regions), path, batch_id)
+        rows = bound.select("uri", "t", F.col("id").alias("part"), *parts)
+        put(keyed_table.with_row_key(rows, regions), path, batch_id)
 
     return write_stream(
         values, "foreach_batch", checkpoint, "update", every=every, drain=drain, write=step

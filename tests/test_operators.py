@@ -42,12 +42,14 @@ def test_window_borders(spark):
     assert rows(aggregates.window_last(df), "v", "t") == [(1.0, 1704067260000), (2.0, 1704067320000)]
 
 
-def test_ties_packed_or_not(spark):
+def test_ties_of_any_size(spark):
     df = series(spark, [("p", 5, 1), ("p", 5, 2), ("p", 4, 3)])
-    for below in (None, 100, 2**60):
-        assert rows(aggregates.window_last(df, tie="seq", tie_below=below), "v") == [(2.0,)]
-    with pytest.raises(Exception, match="seq is not in"):
-        aggregates.window_last(df, tie="seq", tie_below=1).collect()
+    assert rows(aggregates.window_last(df, tie="seq"), "v") == [(2.0,)]
+    any_tie = df.withColumn("seq", F.expr("CASE seq WHEN 1 THEN -9223372036854775808 WHEN 2 THEN 9223372036854775807 END"))
+    assert rows(aggregates.window_last(any_tie, tie="seq"), "v") == [(2.0,)]
+    far = df.withColumn("seq", F.col("seq") + 2**40)
+    for length in ("1 minute", "1 day", "365 days"):
+        assert rows(aggregates.window_last(far, length, tie="seq"), "v") == [(2.0,)]
 
 
 def test_sliding_equals_spark_windows(spark):

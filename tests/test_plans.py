@@ -11,11 +11,12 @@ from gaugeline.operators.moving import moving_avg
 from gaugeline.operators.runs import abnormal_ranges, annotate
 from gaugeline.operators.slices import first_arrivals, with_neighbours
 from gaugeline.plans import views
+from gaugeline.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 BATCH_ONLY = [
     n
-    for n in entry.queries()
+    for n in QUERIES
     if not n.startswith(("stateful", "stream", "sink", "src_readings", "watermark", "src_keyed", "keyed", "apply"))
     and not n.endswith("inorder")
 ]
@@ -27,7 +28,7 @@ def plan(df):
 
 @pytest.mark.parametrize("name", BATCH_ONLY)
 def test_no_python_and_no_cross_product(spark, name):
-    text = plan(entry.queries()[name](spark, SF_DIR))
+    text = plan(QUERIES[name](spark, SF_DIR))
     for word in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin", "SinglePartition"):
         assert word not in text, word
 
@@ -75,6 +76,6 @@ def test_scan_reads_what_is_needed(spark):
 
 def test_window_values_are_hashed_and_combined_first(spark):
     bound = views.bound(spark, SF_DIR)
-    text = plan(aggregates.window_last(bound, tie="seq", tie_below=2**36))
+    text = plan(aggregates.window_last(bound, tie="seq"))
     assert "SortAggregate" not in text
     assert text.count("HashAggregate") == 2 and "partial_max_by" in text

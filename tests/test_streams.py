@@ -56,7 +56,7 @@ def test_discriminate_restart_and_rule_refresh(spark, tmp_path):
             carry=("uri", "gateway_id", "namespace", "point_id", "s"),
             on_normal=topic(normal),
         )
-        messages = open_stream(spark, "text", path=str(inbox), maxFilesPerTrigger="1")
+        messages = open_stream(spark, "text", path=str(inbox), per_trigger=1)
         jobs.discriminate(
             messages, rules_from(rules), runs, str(tmp_path / "cp"), topic(unbound), drain=True
         ).awaitTermination()
@@ -84,7 +84,7 @@ def test_moving_average_stream(spark, tmp_path):
     write_rules(rules, ("/g/a", "/u/a", "10", "0"))
     drop_message(inbox, 1, ("a", 0, 10), ("a", 60, 20), ("a", 61, 30), ("b", 5, 1))
     averages = IncrementalMovingAvg(str(tmp_path / "out"), 1000)
-    messages = open_stream(spark, "text", path=str(inbox))
+    messages = open_stream(spark, "text", path=str(inbox), per_trigger=None)
     jobs.moving_average(
         messages, rules_from(rules), averages, str(tmp_path / "cp"), drain=True
     ).awaitTermination()
@@ -100,7 +100,7 @@ def test_minute_values_over_batches(spark, tmp_path):
         run = dict(how=how, drain=True, by_year=how == "last_ingest")
 
         def go(run=run, how=how):
-            messages = open_stream(spark, "text", path=str(inbox / f"{how}*.txt"))
+            messages = open_stream(spark, "text", path=str(inbox / f"{how}*.txt"), per_trigger=None)
             jobs.minute_values(
                 messages, rules_from(rules), f"{path}/{how}", str(tmp_path / f"cp-{how}"), **run
             ).awaitTermination()
@@ -108,7 +108,7 @@ def test_minute_values_over_batches(spark, tmp_path):
         go()
         drop_message(inbox, f"{how}2", ("a", base + 30_000, 3))
         go()  # the minute goes on after a restart
-        table = keyed_table.read(spark, f"{path}/{how}")
+        table = keyed_table.read_parts(spark, f"{path}/{how}", how)
         assert rows(table, "uri", "v", "t") == [("/u/a", expected, base + 60_000), ("/u/a", 9.0, base + 120_000)]
 
 
@@ -118,7 +118,7 @@ def test_watermark_drops_late_windows(spark, tmp_path):
     base = 1704067200000
 
     def go():
-        messages = open_stream(spark, "text", path=str(inbox))
+        messages = open_stream(spark, "text", path=str(inbox), per_trigger=None)
         jobs.minute_values(
             messages, rules_from(rules), path, str(tmp_path / "cp"), delay="1 minute", drain=True
         ).awaitTermination()
@@ -127,7 +127,7 @@ def test_watermark_drops_late_windows(spark, tmp_path):
     go()
     drop_message(inbox, 2, ("a", base + 30_000, 3))
     go()
-    assert rows(keyed_table.read(spark, path), "v", "t") == [(1.0, base + 60_000), (2.0, base + 660_000)]
+    assert rows(keyed_table.read_parts(spark, path, "last"), "v", "t") == [(1.0, base + 60_000), (2.0, base + 660_000)]
 
 
 def test_once_per_batch(spark, tmp_path):
@@ -233,8 +233,9 @@ def test_jdbc_changes(spark, tmp_path):
         def cursor(self):
             return self
 
-        def execute(self, text, values):
-            self.log.write(json.dumps([text.split()[0], values]) + "\n")
+        def executemany(self, text, many):
+            for values in many:
+                self.log.write(json.dumps([text.split()[0], values]) + "\n")
 
         def commit(self):
             self.log.write('["COMMIT"]\n')
