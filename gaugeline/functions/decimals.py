@@ -6,8 +6,6 @@ on whole numbers in DECIMAL and turned back by that power, so any double is take
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,17 +24,24 @@ def _parts(x: Column) -> tuple[Column, Column]:
     return F.concat(whole, fraction).try_cast("decimal(18,0)"), power - F.length(fraction)
 
 
-def _ten(power: Column, most: int) -> Column:
-    """Ten to a power from 0 to ``most``; NULL outside."""
-    return F.get(F.array(*[F.lit(Decimal(10) ** n).cast("decimal(38,0)") for n in range(most + 1)]), power.cast("int"))
+def _ten(power: Column) -> Column:
+    """Ten to a power of 0 or more; NULL for NULL."""
+    return F.rpad(F.lit("1"), power + 1, F.lit("0")).cast("decimal(38,0)")
 
 
 def _double(digits: Column, power: Column) -> Column:
     return F.concat(digits.cast("decimal(38,0)").cast("string"), F.lit("E"), power.cast("string")).cast("double")
 
 
-def _scaled(digits: Column, power: Column, most: int) -> Column:
-    return (digits.cast("decimal(18,0)") * _ten(power, most)).cast("decimal(38,0)")
+def _scaled(digits: Column, power: Column) -> Column:
+    return (digits.cast("decimal(18,0)") * _ten(power)).cast("decimal(38,0)")
+
+
+def _short(x: Column) -> Column:
+    """The number as a small DECIMAL where that is all its digits say, else NULL: most numbers, at little cost."""
+    number = x.cast("double")
+    decimal = number.try_cast("decimal(15,6)")
+    return F.when(decimal.cast("double") == number, decimal)
 
 
 def _sum(a: Column, b: Column, sign: int) -> Column:
@@ -46,11 +51,13 @@ def _sum(a: Column, b: Column, sign: int) -> Column:
     digits = F.length(F.abs(F.when(e >= f, m).otherwise(n)).cast("string"))
     near = digits + high - low <= ROOM
     up = [F.when(near, power - low) for power in (e, f)]
-    exact = _double((_scaled(m, up[0], ROOM) + _scaled(n, up[1], ROOM)).cast("decimal(38,0)"), low)
+    exact = _double((_scaled(m, up[0]) + _scaled(n, up[1])).cast("decimal(38,0)"), low)
     # Beyond the room the number of the lower power is far below the last digit of the other one.
     larger = F.when(m == 0, _double(n, f)).when(n == 0, _double(m, e)).when(e > f, _double(m, e)).otherwise(_double(n, f))
     plain = a.cast("double") + b.cast("double") * F.lit(float(sign))
-    return F.when(m.isNull() | n.isNull(), plain).when(near, exact).otherwise(larger)
+    wide = F.when(m.isNull() | n.isNull(), plain).when(near, exact).otherwise(larger)
+    short = _short(a) + _short(b) if sign > 0 else _short(a) - _short(b)
+    return F.coalesce(short.cast("double"), wide)
 
 
 def add(a: Column, b: Column) -> Column:
@@ -64,7 +71,8 @@ def subtract(a: Column, b: Column) -> Column:
 def multiply(a: Column, b: Column) -> Column:
     (m, e), (n, f) = _parts(a), _parts(b)
     product = _double((m.cast("decimal(18,0)") * n.cast("decimal(18,0)")).cast("decimal(38,0)"), e + f)
-    return F.when(m.isNull() | n.isNull(), a.cast("double") * b.cast("double")).otherwise(product)
+    wide = F.when(m.isNull() | n.isNull(), a.cast("double") * b.cast("double")).otherwise(product)
+    return F.coalesce((_short(a) * _short(b)).cast("double"), wide)
 
 
 def divide(a: Column, b: Column, digits: int = DIVISION_SCALE) -> Column:
@@ -79,8 +87,8 @@ def divide(a: Column, b: Column, digits: int = DIVISION_SCALE) -> Column:
     # Digits of the quotient as a whole number; a double doesn't hold more than 17 of them.
     length = F.length(F.abs(m).cast("string")) + power - F.length(F.abs(n).cast("string"))
     near = (length <= 19) & (power >= -18)
-    top = F.abs(_scaled(m, F.when(near, F.greatest(power, F.lit(0))), 36))
-    under = F.abs(_scaled(n, F.when(near, F.greatest(-power, F.lit(0))), 18))
+    top = F.abs(_scaled(m, F.when(near, F.greatest(power, F.lit(0)))))
+    under = F.abs(_scaled(n, F.when(near, F.greatest(-power, F.lit(0)))))
     # Exact: the dividend less its rest, and one more where twice the rest reaches the divisor.
     rest = (top % under).cast("decimal(38,0)")
     count = ((top - rest).cast("decimal(38,0)") / under.cast("decimal(38,0)")).cast("decimal(30,0)")
@@ -88,9 +96,15 @@ def divide(a: Column, b: Column, digits: int = DIVISION_SCALE) -> Column:
     sign = F.when((m < 0) != (n < 0), -1).otherwise(1)
     exact = _double(count * sign, F.lit(-digits))
     plain = F.try_divide(a.cast("double"), b.cast("double"))
-    return (
+    # A dividend of such a precision gives Spark's quotient exactly ``digits``, rounded once.
+    room = 38 - digits
+    short = F.lit(None).cast("double")
+    if 6 <= digits <= 20:
+        short = (_short(a).cast(f"decimal({room},6)") / F.nullif(_short(b), F.lit(0))).cast("double")
+    wide = (
         F.when(b.cast("double") == 0, F.lit(None).cast("double"))
         .when(m.isNull() | n.isNull() | (length > 19), plain)
         .when(power < -18, F.lit(0.0))
         .otherwise(exact)
     )
+    return F.coalesce(short, wide)

@@ -23,7 +23,7 @@ TIE_SHIFT = 2**63
 TIE_ROOM = 10**20
 
 
-def _latest(value: str, length_ms: int, tie: str | None) -> Column:
+def _latest(value: str, length_ms: int | None, tie: str | None) -> Column:
     """Value at the latest ``t`` of a window; among equal times at the highest ``tie``, a whole number.
 
     Ordering by a struct makes Spark sort the rows instead of hashing them (three times slower here), so
@@ -31,6 +31,8 @@ def _latest(value: str, length_ms: int, tie: str | None) -> Column:
     """
     if tie is None:
         return F.max_by(value, "t")
+    if length_ms is None:  # windows that don't begin at multiples of their length
+        return F.max_by(value, F.struct("t", tie))
     place = F.pmod(F.col("t"), F.lit(length_ms).cast("bigint")).cast("decimal(17,0)")
     tied = F.coalesce(F.col(tie).cast("bigint").cast("decimal(20,0)") + F.lit(Decimal(TIE_SHIFT)), F.lit(Decimal(0)))
     return F.max_by(value, (place * F.lit(Decimal(TIE_ROOM)) + tied).cast("decimal(38,0)"))
@@ -176,6 +178,6 @@ def sliding_last_stream(
     """``sliding_last`` as one streaming aggregate."""
     out = (
         readings.groupBy(F.window("event_time", length, slide).alias("w"), *keys)
-        .agg(_latest("v", span_millis(length), tie).alias("last_v"), F.max("t").alias("last_t"))
+        .agg(_latest("v", None, tie).alias("last_v"), F.max("t").alias("last_t"))
     )
     return out.select(*keys, F.unix_millis("w.start").alias("window_start"), "last_v", "last_t")
