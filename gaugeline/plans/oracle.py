@@ -194,6 +194,8 @@ ORACLE: dict[str, str] = {
     "src_parse_array": f"""WITH {_READINGS}
  SELECT gateway_id, namespace, point_id, t, s, raw_v AS v FROM readings UNION ALL
  SELECT gateway_id, namespace, point_id, t + 1 AS t, s, raw_v AS v FROM readings""",
+    "src_rejects": """SELECT event_id AS seq, CASE WHEN event_id % 5 = 2 THEN 'unreadable' ELSE 'value' END AS why
+ FROM events WHERE event_id % 5 > 1""",
     "src_parse_object": f"""WITH {_READINGS} SELECT gateway_id, CAST(seq AS VARCHAR) AS "internalSeriesId", namespace,
   point_id, CAST(NULL AS VARCHAR) AS regions, CAST(t AS VARCHAR) AS t, raw_v AS v, s FROM readings""",
     "src_rules": """SELECT '/part/' || CAST(p_partkey // 2 AS VARCHAR) AS id,

@@ -106,6 +106,25 @@ def src_parse_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.parse_array(_messages(views.readings(spark, sf_dir)))
 
 
+@query("src_rejects")
+def src_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of messages in five shapes, those that can't be read, and the readings without a usable value.
+
+    A single object counts as an array of one reading.
+    """
+    kind = F.pmod(F.col("seq"), F.lit(5))
+    value = F.when(kind == 3, F.lit("F#broken")).when(kind == 4, F.lit(None)).otherwise(F.col("raw_v"))
+    item = F.struct(
+        F.col("gateway_id").alias("gatewayId"), "namespace", F.col("seq").cast("string").alias("pointId"), "t", "s", value.alias("v")
+    )
+    text = F.when(kind == 1, F.to_json(item)).otherwise(F.to_json(F.array(item)))
+    text = F.when(kind == 2, F.substring(text, 1, 20)).otherwise(text)
+    messages = views.readings(spark, sf_dir).select("seq", text.alias("value"))
+    unread = src.unreadable(messages).select("seq", F.lit("unreadable").alias("why"))
+    bad = src.rejected(src.parse_array(messages)).select(F.col("point_id").cast("bigint").alias("seq"), F.lit("value").alias("why"))
+    return unread.unionByName(bad)
+
+
 @query("src_parse_object")
 def src_parse_object(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = views.readings(spark, sf_dir).select(

@@ -12,12 +12,14 @@ from pyspark.sql.streaming import StreamingQuery
 from gaugeline.operators import aggregates
 from gaugeline.sinks import keyed_table
 from gaugeline.sinks.dispatch import write_stream
-from gaugeline.sources.readings import clean, parse_array
+from gaugeline.sources.readings import clean, parse_array, rejected, unreadable
 from gaugeline.sources.rules import join_rules, rule_id, split_bound
 from gaugeline.streaming.incremental import IncrementalMovingAvg, IncrementalRuns
 
 Rules = Callable[[SparkSession], DataFrame]
 BatchSink = Callable[[DataFrame, int], None]
+# Gets the unreadable messages and the readings without a usable value of a batch.
+Rejects = Callable[[DataFrame, DataFrame, int], None]
 
 
 def with_watermark(readings: DataFrame, delay: str) -> DataFrame:
@@ -38,16 +40,20 @@ def discriminate(
     runs: IncrementalRuns,
     checkpoint: str,
     on_unbound: BatchSink | None = None,
+    on_reject: Rejects | None = None,
     every: str | None = None,
     drain: bool = False,
 ) -> StreamingQuery:
-    """Messages -> readings -> rules -> abnormal runs; readings without a rule pass through.
+    """Messages -> readings -> rules -> abnormal runs; readings without a rule pass through, rejects go to ``on_reject``.
 
     One query and one read of the source feed all outputs; the joined batch is kept for both parts.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        joined = join_rules(arrivals(clean(parse_array(batch))), rules(batch.sparkSession)).persist()
+        readings = parse_array(batch)
+        if on_reject is not None:
+            on_reject(unreadable(batch), rejected(readings), batch_id)
+        joined = join_rules(arrivals(clean(readings)), rules(batch.sparkSession)).persist()
         bound, unbound = split_bound(joined)
         runs(bound, batch_id)
         if on_unbound is not None:
@@ -63,13 +69,17 @@ def moving_average(
     averages: IncrementalMovingAvg,
     checkpoint: str,
     on_unbound: BatchSink | None = None,
+    on_reject: Rejects | None = None,
     every: str | None = None,
     drain: bool = False,
 ) -> StreamingQuery:
     """Messages -> readings -> rules -> trailing averages of bound points."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        joined = join_rules(arrivals(clean(parse_array(batch))), rules(batch.sparkSession)).persist()
+        readings = parse_array(batch)
+        if on_reject is not None:
+            on_reject(unreadable(batch), rejected(readings), batch_id)
+        joined = join_rules(arrivals(clean(readings)), rules(batch.sparkSession)).persist()
         bound, unbound = split_bound(joined)
         averages(bound, batch_id)
         if on_unbound is not None:

@@ -121,6 +121,24 @@ def test_points_of_one_uri_meet(spark, tmp_path):
         assert [(r.uri, r.v) for r in keyed_table.read_parts(spark, path, how).collect()] == [("/u/same", want)]
 
 
+def test_rejects_of_a_stream(spark, tmp_path):
+    from gaugeline.sources.readings import open_stream
+    from gaugeline.streaming import jobs
+    from test_streams import drop_message, rules_from, write_rules
+
+    inbox, rules, seen = tmp_path / "in", tmp_path / "rules", []
+    write_rules(rules, ("/g/a", "/u/a", "10", "0"))
+    drop_message(inbox, 1, ("a", 1000, 5))
+    (inbox / "2.txt").write_text('[{"gatewayId":"g",\n[{"gatewayId":"g","pointId":"a","t":5,"v":"F#x"}]\n')
+    runs = IncrementalRuns(RULES["limit"], str(tmp_path / "out"), 1000)
+    messages = open_stream(spark, "text", path=str(inbox), per_trigger=None)
+    jobs.discriminate(
+        messages, rules_from(rules), runs, str(tmp_path / "cp"), drain=True,
+        on_reject=lambda unread, bad, batch_id: seen.append((unread.count(), bad.count())),
+    ).awaitTermination()
+    assert seen == [(1, 1)]
+
+
 def _batch(spark, rows):
     return spark.createDataFrame([(i, t, v, "10", "0", "u" + i, n) for n, (i, t, v) in enumerate(rows)],
                                  "id string, t bigint, v double, upperbound string, lowerbound string, uri string, seq bigint")
