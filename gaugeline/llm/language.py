@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gaugeline.llm.shingles import held
+
 BUCKETS = 1 << 15
 # Labelled rows a model is fitted on, about.
 SAMPLE = 6_000
@@ -28,7 +30,7 @@ SAMPLE = 6_000
 SWITCH = 8.0
 CHUNK = 128
 # Characters of text that a task works on at a time (one text at least).
-SLICE = 2_000_000
+SLICE = 500_000
 UNKNOWN = "und"
 
 # Main Unicode ranges of scripts.
@@ -127,7 +129,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = S
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-        for batch in batches:
+        for batch in held(batches):
             langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
             for name in set(langs):
                 seen, scripts = sums.setdefault(name, (np.zeros(BUCKETS, np.int64), np.zeros(len(SCRIPTS) + 1, np.int64)))
@@ -259,7 +261,7 @@ def label(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ..
     kinds = {f.name: f.dataType.simpleString() for f in docs.select(*[F.col(f"`{c}`") for c in keep]).schema}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in held(batches):
             at = 0
             texts = [t or "" for t in batch.column(0).to_pylist()]
             for own in _slices(texts):

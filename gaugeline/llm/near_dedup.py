@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline.llm.common import components, forget, fresh, matching, numbered, parts_for, written
-from gaugeline.llm.shingles import mix64, shingles, slices, word_hashes
+from gaugeline.llm.shingles import held, mix64, shingles, slices, word_hashes
 
 WORDS = 5
 SIMILAR = 0.8
@@ -84,9 +84,8 @@ def sketches(table: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     """``row, size, key1, key2, bands``: number of shingles, a key of the whole bag, and its bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for begin, own in slices(texts):
+        for batch in held(batches):
+            for begin, own in slices(batch.column("text").to_pylist()):
                 value, text, weight = _weighted(own, n)
                 register = signatures(value, text, weight, len(own), bands * rows)
                 keys = []
@@ -114,7 +113,7 @@ def bags(table: DataFrame, n: int) -> DataFrame:
     """``row, bag``: sorted 64-bit hashes of (shingle, how many times before), eight bytes each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in held(batches):
             for begin, own in slices(batch.column("text").to_pylist()):
                 value, text, weight = _weighted(own, n)
                 nth = np.arange(weight.sum()) - np.repeat(np.cumsum(weight) - weight, weight)
@@ -254,22 +253,22 @@ def near_groups(
     # Buckets with two members at least.
     every = written(single.select("row", "size", F.explode("bands").alias("bucket")), "bands")
     full = every.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    held = written(every.join(full, "bucket"), "buckets")
+    kept = written(every.join(full, "bucket"), "buckets")
     forget(every)
-    near = written(held.groupBy("row").agg(F.sum("n").alias("reach")), "reach")
+    near = written(kept.groupBy("row").agg(F.sum("n").alias("reach")), "reach")
     bag = written(bags(matching(table, near.select("row")), words), "bags")
 
     # First round: each member against the member of its bucket that shares buckets with most others.
     fits = F.least("size", F.col("hub.size")) >= F.lit(similar) * F.greatest("size", F.col("hub.size")) - 1e-9
-    led = held.join(near, "row")
+    led = kept.join(near, "row")
     hubs = led.groupBy("bucket").agg(F.max_by(F.struct("row", "size"), F.struct("reach", F.xxhash64("row"))).alias("hub"))
-    star = held.join(hubs, "bucket").filter((F.col("row") != F.col("hub.row")) & fits)
+    star = kept.join(hubs, "bucket").filter((F.col("row") != F.col("hub.row")) & fits)
     pairs = star.select(F.least("row", "hub.row").alias("a"), F.greatest("row", "hub.row").alias("b")).distinct()
     links = written(verified(pairs, bag, similar), "links")
     place = written(components(links).select(F.col("node").alias("row"), "root"), "components")
 
     # Second round: what shares a bucket and still lies in different components, in tiles of bounded size.
-    now = held.join(place, "row", "left").select("row", "size", "bucket", "n", F.coalesce("root", "row").alias("part"))
+    now = kept.join(place, "row", "left").select("row", "size", "bucket", "n", F.coalesce("root", "row").alias("part"))
     parts = now.groupBy("bucket").agg(F.min("part").alias("least"), F.max("part").alias("most"))
     now = now.join(parts.filter("least < most").select("bucket"), "bucket")
     more = across(now, sketch.select("row", "bands"), bag, similar)

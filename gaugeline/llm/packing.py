@@ -26,7 +26,7 @@ from gaugeline.llm.common import running, written
 LIMIT = 1024
 END = 0
 # Words remembered by a task, in two generations; older ones are encoded anew.
-REMEMBER = 250_000
+REMEMBER = 120_000
 BUCKETS, DIMS, BITS = 256, 3, 16
 SEED = 20_240_607
 # Documents held at a time by a task.

@@ -6,9 +6,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 
 # Characters of text that a task works on at a time (one text at least).
-SLICE = 1_000_000
+SLICE = 500_000
+# Rows of a batch whose texts are held as Python strings at a time.
+ROWS_HELD = 256
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -86,6 +89,13 @@ def shingles(words: WordHashes, n: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     return value, words.text[at], at
 
 
+def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of a few rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_HELD):
+            yield batch.slice(at, ROWS_HELD)
+
+
 def slices(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
     """The texts in groups of bounded size, with the place of the first one of each."""
     begin, size = 0, 0
