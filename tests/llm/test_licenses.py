@@ -32,3 +32,30 @@ def test_equals_pattern_on_the_table(spark, documents, nothing):
     assert sorted((r.doc_id, r.license, r.start) for r in license_scan(docs).collect()) == sorted(want)
     assert license_scan(documents).count() == 0
     assert license_scan(nothing).count() == 0
+
+
+def test_a_whole_license_repeats_its_words():
+    from gaugeline.llm.licenses import CONTAINED, Scanner, whole_texts
+
+    scanner = Scanner(TEMPLATES + whole_texts())
+    before, after = FILL * 9 + "under the license. ", "\n" + FILL * 9
+    for name, whole in whole_texts():
+        for text in (before + whole + after, before + whole + after + whole):
+            found = [(lic, share) for _, lic, start, end, share in scanner([text]) if end - start > 500]
+            assert found == [(name, 1.0)] * (1 + text.endswith(whole)), name
+    # A copy with a foreign line in the middle that holds words of the license itself, one without its beginning, one in other order.
+    apache = dict(whole_texts())["Apache-2.0"]
+    lines = apache.splitlines()
+    half = len(lines) // 2
+    for changed in (
+        "\n".join([*lines[:half], lines[-5], *lines[half:]]),
+        "\n".join(lines[30:]),
+        "\n".join(lines[half:] + lines[:half]),
+    ):
+        (found,) = scanner([before + changed + after])
+        assert found[1] == "Apache-2.0" and found[4] >= 0.85
+    # A run of five words at two places, and a template that is mostly one such run.
+    for template in ("one two three four five six one two three four five seven", "a b c d e f " * 40 + "end"):
+        (found,) = Scanner([("X", template)])([FILL + template + " " + FILL])
+        assert found == (0, "X", len(FILL), len(FILL + template), 1.0)
+    assert not Scanner([("X", apache)])([before + apache[: len(apache) * 7 // 10] + after]) and CONTAINED == 0.8
