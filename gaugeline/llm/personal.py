@@ -5,7 +5,7 @@ tagger, a bidirectional LSTM with CRF transitions over characters, is trained on
 labelled and on generated spans put into such text: addresses with ``[at]`` and ``(dot)``, cards with other
 separators, phones without a plus. Texts are cut into overlapping windows, each is decoded, and spans
 of all windows are reconciled per text: spans cut off by a window's edge yield to the window that holds them
-whole, better ones go first, none may overlap another of its kind or any base span, and the digits or parts of each must make
+whole, or are decoded again in one that does, however long; better ones go first, none may overlap another of its kind or any base span, and the digits or parts of each must make
 sense for its kind.
 
 A span holds a digit, an at sign or an opening bracket, so windows without any of these can't hold one and
@@ -15,6 +15,7 @@ aren't decoded.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -34,6 +35,9 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
+# What an address goes on with, as far as it goes, on its left and on its right.
+DOT_BEFORE = re.compile(r"\s?[\[(]dot[\])]\s?\Z", re.I)
+HOST_MORE = re.compile(r"[A-Za-z0-9-]*+(?:(?:\.|\s?[\[(]dot[\])]\s?)[A-Za-z0-9-]++)*+", re.I)
 EVIDENCE = re.compile(r"[0-9@\[(]")
 
 WINDOW, STRIDE = 128, 64
@@ -117,9 +121,21 @@ def _digits(rng: np.random.Generator, n: int) -> str:
     return "".join(map(str, rng.integers(0, 10, n)))
 
 
+def _long_address(rng: np.random.Generator) -> str:
+    """An address written otherwise, of many parts."""
+    pick = lambda *options: options[rng.integers(len(options))]
+    at = pick("[at]", "(at)", " [at] ", " (at) ", " @ ")
+    dot = pick(".", "[dot]", "(dot)", " [dot] ", " (dot) ", " (dot) ")
+    name = pick(".", "_", dot).join(_letters(rng, 2, 13) for _ in range(rng.integers(1, 4)))
+    host = [_letters(rng, 2, 15) for _ in range(rng.integers(2, 13))]
+    return name + at + dot.join([*host, pick("com", "org", "net", "edu", "de", "fr")])
+
+
 def _made(kind: int, rng: np.random.Generator) -> str:
     """A generated span, plain or written otherwise."""
     pick = lambda *options: options[rng.integers(len(options))]
+    if kind == 0 and rng.integers(4) == 0:
+        return _long_address(rng)
     if kind == 0:
         at = pick("@", "@", "[at]", "(at)", " [at] ", " (at) ", " @ ")
         dot = "." if at == "@" else pick(".", "[dot]", "(dot)", " [dot] ", " (dot) ")
@@ -152,7 +168,7 @@ def _examples(contexts: list[str], rng: np.random.Generator) -> tuple[np.ndarray
     x = np.full((3 * len(contexts), WINDOW), table[32], np.int16)
     y = np.zeros((3 * len(contexts), WINDOW), np.int64)
     for n in range(3 * len(contexts)):
-        text, put = contexts[n // 3][:WINDOW], ""
+        text, put, shift = contexts[n // 3][:WINDOW], "", 0
         own: list[tuple[int, int, int]] = []
         if n % 3:
             cut = [m.end() for m in re.finditer(r"\s", text[: WINDOW // 2])] or [0]
@@ -161,12 +177,16 @@ def _examples(contexts: list[str], rng: np.random.Generator) -> tuple[np.ndarray
             put = _made(kind, rng) if kind < 4 else _plain_number(rng)
             text = text[:at] + put + ("", ".", ",")[rng.integers(3)] + " " + text[at:]
             own = [(kind, at, at + len(put))] if kind < 4 else []
+            # Of what windows can cut off, any part.
+            if len(put) > WINDOW - STRIDE:
+                shift = int(rng.integers(0, at + len(put)))
         spans = own + [s for s in base_spans(text) if not any(s[1] < o[2] and o[1] < s[2] for o in own)]
-        codes = table[_codes(text[:WINDOW])]
+        codes = table[_codes(text[shift : shift + WINDOW])]
         x[n, : len(codes)] = codes
         for kind, start, end in spans:
-            y[n, start:end] = 2 + 2 * kind
-            y[n, start : start + 1] = 1 + 2 * kind
+            y[n, max(0, start - shift) : max(0, end - shift)] = 2 + 2 * kind
+            if start >= shift:
+                y[n, start - shift : start - shift + 1] = 1 + 2 * kind
     return x, y
 
 
@@ -208,6 +228,7 @@ class _Added:
     end: int
     sure: float
     whole: bool
+    again: bool = False
 
 
 def _sensible(kind: int, text: str) -> bool:
@@ -228,6 +249,19 @@ def _sensible(kind: int, text: str) -> bool:
     return 9 <= len(digits) <= 15 and bool(re.search(r"[\s().-]", text))
 
 
+def _full_address(text: str, start: int, end: int) -> tuple[int, int]:
+    """An added address with the rest of the name and the host that it begins or ends within."""
+    while start:
+        if text[start - 1] in EMAIL_LOCAL:
+            start -= 1
+            continue
+        dot = DOT_BEFORE.search(text, max(0, start - 7), start)
+        if not dot or not dot.start() or text[dot.start() - 1] not in EMAIL_LOCAL:
+            break
+        start = dot.start()
+    return start, HOST_MORE.match(text, end).end()
+
+
 def _window_spans(path: np.ndarray, share: np.ndarray, begin: int, size: int) -> Iterator[_Added]:
     at = 0
     while at < len(path):
@@ -245,9 +279,68 @@ def _window_spans(path: np.ndarray, share: np.ndarray, begin: int, size: int) ->
         at = end
 
 
+def _decoded(texts: list[str], model: Tagger, windows: list[tuple[int, int]], length: int) -> Iterator[list[_Added]]:
+    """The spans of each window, given by its text and first character."""
+    space = _symbols()[32]
+    step = max(1, DECODE * WINDOW // length)
+    for at in range(0, len(windows), step):
+        own = windows[at : at + step]
+        x = np.full((len(own), length), space, np.int16)
+        for i, (n, begin) in enumerate(own):
+            codes = _symbols()[_codes(texts[n][begin : begin + length])]
+            x[i, : len(codes)] = codes
+        path, share = model.decode(x)
+        some = path.any(1)
+        for i, (n, begin) in enumerate(own):
+            yield list(_window_spans(path[i], share[i], begin, len(texts[n]))) if some[i] else []
+
+
+def _merged(parts: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Parts of a text, those that meet made one."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(parts):
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
+def _whole_ones(texts: list[str], base: list[list[tuple[int, int, int]]], added: dict[int, list[_Added]], model: Tagger) -> None:
+    """Puts to ``added`` what edges of windows cut off, decoded again in windows that grow until they hold it."""
+    cut: dict[int, list[tuple[int, int]]] = {}
+    for n, own in added.items():
+        good = [(a.start, a.end) for a in own if a.whole and a.sure >= SURE and _sensible(a.kind, texts[n][a.start : a.end])]
+        plain = _merged([(s, e) for _, s, e in base[n]])
+        begins = [s for s, _ in plain]
+        for a in own:
+            at = bisect_right(begins, a.start) - 1
+            within = (at >= 0 and a.end <= plain[at][1]) or any(s <= a.start and a.end <= e for s, e in good)
+            if not a.whole and not within:
+                cut.setdefault(n, []).append((a.start, a.end))
+    reach = STRIDE
+    while cut:
+        sized: dict[int, list[tuple[int, int, int, int]]] = {}
+        for n, parts in cut.items():
+            for start, end in _merged(parts):
+                begin = max(0, start - reach)
+                length = -(-(min(end + reach, len(texts[n])) - begin) // STRIDE) * STRIDE
+                sized.setdefault(length, []).append((n, begin, start, end))
+        cut = {}
+        for length, own in sized.items():
+            for (n, _, start, end), spans in zip(own, _decoded(texts, model, [o[:2] for o in own], length), strict=True):
+                for a in spans:
+                    if start < a.end and a.start < end:
+                        if a.whole:
+                            a.again = True
+                            added[n].append(a)
+                        else:
+                            cut.setdefault(n, []).append((min(start, a.start), max(end, a.end)))
+        reach *= 2
+
+
 def find(texts: list[str], model: Tagger) -> list[list[tuple[int, int, int, bool]]]:
     """Per text (kind, start, end, base) of all spans, by kind and start."""
-    table = _symbols()
     base = [base_spans(t) for t in texts]
     windows: list[tuple[int, int]] = []
     for n, text in enumerate(texts):
@@ -258,20 +351,16 @@ def find(texts: list[str], model: Tagger) -> list[list[tuple[int, int, int, bool
                     windows.append((n, k * STRIDE))
                     last = k
     added: dict[int, list[_Added]] = {}
-    for at in range(0, len(windows), DECODE):
-        own = windows[at : at + DECODE]
-        x = np.full((len(own), WINDOW), table[32], np.int16)
-        for i, (n, begin) in enumerate(own):
-            codes = table[_codes(texts[n][begin : begin + WINDOW])]
-            x[i, : len(codes)] = codes
-        path, share = model.decode(x)
-        for i in np.flatnonzero(path.any(1)):
-            n, begin = own[i]
-            added.setdefault(n, []).extend(_window_spans(path[i], share[i], begin, len(texts[n])))
+    for (n, _), spans in zip(windows, _decoded(texts, model, windows, WINDOW), strict=True):
+        if spans:
+            added.setdefault(n, []).extend(spans)
+    _whole_ones(texts, base, added, model)
     out = []
     for n, text in enumerate(texts):
         kept = [(k, s, e, True) for k, s, e in base[n]]
-        for a in sorted(added.get(n, []), key=lambda a: (not a.whole, -a.sure, a.start, a.end, a.kind)):
+        for a in sorted(added.get(n, []), key=lambda a: (not a.whole, not a.again, -a.sure, a.start, a.end, a.kind)):
+            if a.kind == 0 and a.whole and a.sure >= SURE:
+                a.start, a.end = _full_address(text, a.start, a.end)
             if a.sure < SURE or not a.whole or not _sensible(a.kind, text[a.start : a.end]):
                 continue
             if not any(s < a.end and a.start < e for k, s, e, plain in kept if plain or k == a.kind):

@@ -74,6 +74,25 @@ def test_spans_across_windows(spark, model):
     assert [KINDS.index(s.kind) for s in row.spans] == sorted(KINDS.index(s.kind) for s in row.spans)
 
 
+def test_long_spans_at_every_offset(model):
+    fill = "we write the words of this page here and go on as the page before it did "
+    parts = "department faculty university example institute sciences building research library campus college network group school centre".split()
+    texts, want = [], []
+    for size in range(3, 18, 2):
+        host = " (dot) ".join((parts * 2)[: size - 1] + ["org"])
+        put = f"firstname.lastname (at) {host}"
+        if 64 <= len(put) <= 250:
+            for offset in range(64):
+                head = (fill * 4)[: 128 + offset - 1].rstrip() + " "
+                head = " " * (128 + offset - len(head)) + head
+                texts.append(head + put + " " + fill * 3)
+                want.append((0, len(head), len(head) + len(put)))
+    assert {(e - s) // 64 for _, s, e in want} == {1, 2, 3} and {s % 64 for _, s, _ in want} == set(range(64))
+    hit = [w in [f[:3] for f in found] for w, found in zip(want, personal.find(texts, model), strict=True)]
+    for at in range(0, len(hit), 64):
+        assert all(hit[at : at + 64]), want[at]
+
+
 def test_gradient_is_the_slope():
     from gaugeline.llm.tagger import Tagger
 
