@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugeline.llm import language, personal
 from gaugeline.llm.exact_dedup import exact_groups
+from gaugeline.llm.language_model import scored
 from gaugeline.llm.licenses import license_scan
 from gaugeline.llm.mixing import mix
 from gaugeline.llm.near_dedup import near_groups
@@ -168,3 +169,14 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *counts, F.sha2(personal.joined(base), 256).alias("base_sha256"), personal.joined(F.col("spans")).alias("spans")
     )
+
+
+def _id_hash(doc_id: str = "doc_id") -> Column:
+    """CRC-32 of an id as text; a null id counts as empty text."""
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
+
+
+@query("op11_language_model")
+def op11_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = scored(_documents(spark, sf_dir), _id_hash() % 7 != 2)
+    return rows.withColumn("learned", ~F.col("learned")).withColumnRenamed("learned", "held_out")
