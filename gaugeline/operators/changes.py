@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Operation codes of the change log.
@@ -37,6 +39,25 @@ def change_log(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
     )
 
 
+def row_change(there: Column, now: Column, same: Column) -> Column:
+    """The operation that turns a row as it was into what it is, NULL for none; both states stand on one row."""
+    there, now = F.coalesce(there, F.lit(False)), F.coalesce(now, F.lit(False))
+    return F.when(now & ~there, INSERT).when(there & ~now, DELETE).when(now & there & ~same, UPDATE).cast("int")
+
+
+def row_changes(
+    rows: DataFrame, there: Column, now: Column, key: dict[str, Column], was: dict[str, Column], values: dict[str, Column]
+) -> DataFrame:
+    """A change log from rows that hold both states of themselves, without a join.
+
+    ``there`` and ``now`` say whether the row is part of the old and the new table, ``was`` and ``values`` what it says in each.
+    """
+    same = reduce(and_, [values[c].eqNullSafe(was[c]) for c in values], F.lit(True))
+    changed = rows.withColumn("op", row_change(there, now, same)).filter("op IS NOT NULL")
+    shown = [F.when(F.col("op") == DELETE, was[c]).otherwise(values[c]).alias(c) for c in values]
+    return changed.select("op", *[x.alias(c) for c, x in key.items()], *shown)
+
+
 def apply_changes(
     base: DataFrame, log: DataFrame, key: Sequence[str], order: Sequence[str] | None = None
 ) -> DataFrame:

@@ -63,3 +63,21 @@ RULES: dict[str, Discriminator] = {
         Discriminator("amplitude", ("amp",), _amplitude, {"previous_value": "previous_value"}),
     )
 }
+
+
+class _Renamed:
+    def __init__(self, reading: Column, names: dict[str, str]) -> None:
+        self.reading, self.names = reading, names
+
+    def __getitem__(self, name: str) -> Column:
+        return self.reading[self.names.get(name, name)]
+
+
+def renamed(rule: Discriminator, names: dict[str, str]) -> Discriminator:
+    """The rule over parameters that stand in other columns, such as a second version of its bounds."""
+    return Discriminator(
+        rule.name,
+        tuple(names.get(p, p) for p in rule.params),
+        lambda reading, before: rule.abnormal(_Renamed(reading, names), _Renamed(before, names)),
+        {shown: names.get(source, source) for shown, source in rule.shows.items()},
+    )

@@ -2,21 +2,24 @@
 
 Closed form. With ``prev`` the reading before, ``abnormal = rule(reading, prev)``. A run starts at an
 abnormal reading whose predecessor is not abnormal, and ends at the first reading after its last
-one; with no such reading it is open (NULL). The start on every row of a run is the latest start up
-to that row, a running maximum. Both carry over slice borders through the edge table
+one; with no such reading it is open (NULL). So a run begins at the reading after the latest normal one, and at the point's
+first reading if there is none: on every row, a running maximum. It carries over slice borders through the edge table
 (see ``slices``), so a run may span any number of slices.
+
+Any number of rules is judged in one pass: one placement, one sort and one edge table, with a flag per rule.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeline.functions.times import DAY_MS
+from gaugeline.operators.changes import row_changes
 from gaugeline.operators.discriminators import Discriminator
 from gaugeline.operators.slices import SLICE, first_arrivals, with_slice
 
@@ -25,126 +28,155 @@ from gaugeline.operators.slices import SLICE, first_arrivals, with_slice
 NORMAL_SEED = -1
 
 
-def annotate(
+def judge(
     series: DataFrame,
-    rule: Discriminator,
+    rules: Sequence[Discriminator],
     key: Sequence[str] = ("id",),
     carry: Sequence[str] = ("uri",),
     slice_ms: int = DAY_MS,
     seeded: bool = False,
 ) -> DataFrame:
-    """Judge a series that is unique on ``(key, t)``, where ``key`` is never NULL.
+    """Judge a series that is unique on ``(key, t)``, where ``key`` is never NULL, by several rules at once.
 
-    Needs ``t``, ``v`` and the rule's parameter columns; ``carry`` columns stay. Adds ``previous_value``, ``abnormal``,
-    ``exception_start_time`` (on every row of a run), ``is_last``, ``exception_end_time`` (on the last
-    row of a closed run) and ``next_time``. With ``seeded``, a non-NULL ``seed`` on the first reading
-    of a point states its judgement instead of the rule (see ``streaming.incremental``).
+    Needs ``t``, ``v`` and the rules' parameter columns; ``carry`` columns stay. Adds ``previous_value``, ``next_time`` and for
+    rule number i ``abnormal_i``, ``start_i`` (the beginning of the run, on its rows) and ``is_last_i``. With ``seeded``, a
+    non-NULL ``seed`` on the first reading of a point states its judgement instead of the rules (see ``streaming.incremental``).
     """
     # One struct per reading: both uses of the shuffled rows then read the same columns, so Spark
     # shuffles them once (ReusedExchange).
-    read = ["v", *rule.params, *(["seed"] if seeded else []), *carry]
+    params = dict.fromkeys(p for rule in rules for p in rule.params)
+    read = ["v", *params, *(["seed"] if seeded else []), *carry]
     part = [*key, SLICE]
     in_slice = Window.partitionBy(*part).orderBy("t")
     so_far = in_slice.rowsBetween(Window.unboundedPreceding, 0)
     c = F.col
     present = series.filter(reduce(and_, [c(k).isNotNull() for k in key]))
+    numbers = range(len(rules))
 
-    def judged(reading: Column, before: Column) -> Column:
-        verdict = rule.abnormal(reading, before)
+    def judged(i: int, reading: Column, before: Column) -> Column:
+        verdict = rules[i].abnormal(reading, before)
         if seeded:
             verdict = F.when(reading["seed"].isNotNull(), reading["seed"] >= 0).otherwise(verdict)
         return F.coalesce(reading["v"].isNotNull() & verdict, F.lit(False))
 
-    def starts_run(reading: Column, before: Column, before_that: Column) -> Column:
-        return judged(reading, before) & ~judged(before, before_that)
-
-    # Inside a slice. The first two rows cannot be settled here: they look beyond the border.
-    inner_start = (c("n") > 2) & starts_run(c("r"), c("r1"), c("r2"))
-    rows = (
-        with_slice(present.select(*key, "t", F.struct(*read).alias("r")), "t", slice_ms)
-        .repartition(*part)
-        .withColumns(
-            {
-                "n": F.row_number().over(in_slice),
-                "r1": F.lag("r", 1).over(in_slice),
-                "r2": F.lag("r", 2).over(in_slice),
-                "next_r": F.lead("r").over(in_slice),
-                "next_t": F.lead("t").over(in_slice),
-            }
-        )
-        .withColumn("inner_start", F.max(F.when(inner_start, c("t"))).over(so_far))
+    # Inside a slice. The first row is not judged here: it looks beyond the border.
+    placed = with_slice(present.select(*key, "t", F.struct(*read).alias("r")), "t", slice_ms).repartition(*part)
+    rows = placed.withColumns(
+        {"n": F.row_number().over(in_slice), "r1": F.lag("r").over(in_slice), "next_t": F.lead("t").over(in_slice)}
+    ).withColumns({f"flag_{i}": F.when(c("n") > 1, judged(i, c("r"), c("r1"))) for i in numbers})
+    rows = rows.withColumns(
+        {f"next_flag_{i}": F.lead(f"flag_{i}").over(in_slice) for i in numbers}
+        | {f"inner_{i}": F.max(F.when(~c(f"flag_{i}"), c("next_t"))).over(so_far) for i in numbers}
     )
 
-    # One row per slice: its first two and last two readings and its latest inner start. Only the
-    # rows at the ends of a slice are aggregated; the last one knows the latest inner start.
+    # One row per slice: its first and last readings, and what follows its latest normal one.
     across = Window.partitionBy(*key).orderBy(SLICE)
     earlier = across.rowsBetween(Window.unboundedPreceding, -1)
-    first_start = c("first_t")
+    begins = c("first_t")
     if seeded:
-        first_start = F.when(c("first_r")["seed"] >= 0, c("first_r")["seed"]).otherwise(c("first_t"))
-    start_1 = F.when(starts_run(c("first_r"), c("prev_r"), c("prev_prev_r")), first_start)
-    start_2 = F.when(starts_run(c("second_r"), c("first_r"), c("prev_r")), c("second_t"))
-    second = c("n") == 2
+        begins = F.when(c("first_r")["seed"] >= 0, c("first_r")["seed"]).otherwise(c("first_t"))
     edges = (
-        rows.filter((c("n") <= 2) | c("next_t").isNull())
+        rows.filter((c("n") == 1) | c("next_t").isNull())
         .groupBy(*part)
         .agg(
             F.min("t").alias("first_t"),
             F.min_by("r", "t").alias("first_r"),
-            F.max(F.when(second, c("t"))).alias("second_t"),
-            F.max(F.when(second, c("r"))).alias("second_r"),
+            F.max(F.when(c("n") == 1, c("next_t"))).alias("second_t"),
             F.max_by("r", "t").alias("last_r"),
-            F.max_by("r1", "t").alias("last_but_one_r"),
-            F.max("inner_start").alias("inner_start"),
+            *[F.max(f"inner_{i}").alias(f"inner_{i}") for i in numbers],
+            *[F.max_by(f"flag_{i}", "t").alias(f"last_flag_{i}") for i in numbers],
         )
         .withColumns(
             {
                 "prev_r": F.lag("last_r").over(across),
-                "prev_prev_r": F.coalesce(
-                    F.lag("last_but_one_r").over(across), F.lag("last_r", 2).over(across)
-                ),
-                "after_r": F.lead("first_r").over(across),
                 "after_t": F.lead("first_t").over(across),
+                "begins": F.first(begins).over(across),
             }
         )
-        .withColumns({"start_1": start_1, "start_2": start_2})
-        .withColumn("earlier_start", F.max(F.coalesce("inner_start", "start_2", "start_1")).over(earlier))
-        .select(
-            *part,
-            "prev_r",
-            "after_r",
-            "after_t",
-            F.coalesce("start_1", "earlier_start").alias("head_1"),
-            F.coalesce("start_2", "start_1", "earlier_start").alias("head_2"),
-        )
+        .withColumns({f"head_flag_{i}": judged(i, c("first_r"), c("prev_r")) for i in numbers})
+    )
+
+    def follows(i: int) -> Column:
+        """The time after the latest normal reading of a slice."""
+        inside = F.coalesce(c(f"inner_{i}"), F.when(~c(f"head_flag_{i}"), c("second_t")))
+        return F.when(F.coalesce(f"last_flag_{i}", f"head_flag_{i}"), inside).otherwise(c("after_t"))
+
+    edges = edges.withColumns({f"follows_{i}": follows(i) for i in numbers}).select(
+        *part,
+        "prev_r",
+        "after_t",
+        "second_t",
+        *[c(f"head_flag_{i}") for i in numbers],
+        *[F.lead(f"head_flag_{i}").over(across).alias(f"after_flag_{i}") for i in numbers],
+        *[F.coalesce(F.max(f"follows_{i}").over(earlier), c("begins")).alias(f"earlier_{i}") for i in numbers],
     )
 
     # Back to the readings, on the keys they are already partitioned and sorted by.
-    head = F.when(c("n") == 1, c("head_1")).otherwise(c("head_2"))
-    return (
-        rows.join(edges, part, "left")
-        .select(
-            *key,
-            "t",
-            "r",
-            F.coalesce("r1", "prev_r").alias("before"),
-            F.coalesce("next_r", "after_r").alias("after"),
-            F.coalesce("next_t", "after_t").alias("next_time"),
-            F.coalesce("inner_start", head).alias("start"),
-        )
-        .withColumn("abnormal", judged(c("r"), c("before")))
-        .withColumn("is_last", c("abnormal") & ~judged(c("after"), c("r")))
-        .select(
-            *key,
-            "t",
-            *[c("r")[name].alias(name) for name in read],
-            c("before")["v"].alias("previous_value"),
-            "abnormal",
-            F.when(c("abnormal"), c("start")).alias("exception_start_time"),
-            "is_last",
-            F.when(c("is_last"), c("next_time")).alias("exception_end_time"),
-            "next_time",
+    out = []
+    for i in numbers:
+        abnormal = F.coalesce(f"flag_{i}", f"head_flag_{i}")
+        second = F.when((c("n") > 1) & ~c(f"head_flag_{i}"), c("second_t"))
+        after = F.when(c("next_t").isNull(), c(f"after_flag_{i}")).otherwise(c(f"next_flag_{i}"))
+        out += [
+            abnormal.alias(f"abnormal_{i}"),
+            F.when(abnormal, F.coalesce(c(f"inner_{i}"), second, c(f"earlier_{i}"))).alias(f"start_{i}"),
+            (abnormal & ~F.coalesce(after, F.lit(False))).alias(f"is_last_{i}"),
+        ]
+    return rows.join(edges, part, "left").select(
+        *key,
+        "t",
+        *[c("r")[name].alias(name) for name in read],
+        F.coalesce(c("r1")["v"], c("prev_r")["v"]).alias("previous_value"),
+        F.coalesce("next_t", "after_t").alias("next_time"),
+        *out,
+    )
+
+
+def annotate(
+    series: DataFrame,
+    rule: Discriminator,
+    key: Sequence[str] = ("id",),
+    carry: Sequence[str] = ("uri",),
+    slice_ms: int = DAY_MS,
+    seeded: bool = False,
+) -> DataFrame:
+    """``judge`` by one rule. Adds ``previous_value``, ``abnormal``, ``exception_start_time`` (on every row of a run),
+    ``is_last``, ``exception_end_time`` (on the last row of a closed run) and ``next_time``."""
+    return verdict(judge(series, [rule], key, carry, slice_ms, seeded), 0)
+
+
+def verdict(judged: DataFrame, number: int) -> DataFrame:
+    """What rule ``number`` says of a series judged by several."""
+    kept = [c for c in judged.columns if c.rpartition("_")[0] not in ("abnormal", "start", "is_last")]
+    first = [c for c in kept if c != "next_time"]
+    last = F.col(f"is_last_{number}")
+    return judged.select(
+        *first,
+        F.col(f"abnormal_{number}").alias("abnormal"),
+        F.col(f"start_{number}").alias("exception_start_time"),
+        last.alias("is_last"),
+        F.when(last, F.col("next_time")).alias("exception_end_time"),
+        "next_time",
+    )
+
+
+def all_ranges(judged: DataFrame, rules: Sequence[Discriminator]) -> DataFrame:
+    """The ``abnormal_ranges`` of several rules from one pass over the readings."""
+    runs = [
+        F.when(
+            F.col(f"is_last_{i}"),
+            F.struct(F.lit(rule.name).alias("abnormal_type"), F.col(f"start_{i}").alias("abnormal_start_time")),
         )
+        for i, rule in enumerate(rules)
+    ]
+    found = judged.filter(reduce(or_, [F.col(f"is_last_{i}") for i in range(len(rules))]))
+    found = found.withColumn("run", F.explode(F.filter(F.array(*runs), lambda run: run.isNotNull())))
+    return found.select(
+        F.col("uri").alias("node_uri"),
+        F.col("t").alias("last_abnormal_time"),
+        "run.abnormal_type",
+        "run.abnormal_start_time",
+        F.col("next_time").alias("abnormal_end_time"),
     )
 
 
@@ -170,6 +202,21 @@ def abnormal_ranges(annotated: DataFrame, rule: Discriminator) -> DataFrame:
     )
 
 
+def version_changes(judged: DataFrame, old: Discriminator, new: Discriminator, kind: str) -> DataFrame:
+    """Change log of the ``points`` or ``ranges`` of two versions of a rule, judged as rules 0 and 1 in one pass."""
+    if kind == "ranges":
+        there, now = F.col("is_last_0"), F.col("is_last_1")
+        key = {"node_uri": F.col("uri"), "last_abnormal_time": F.col("t"), "abnormal_type": F.lit(new.name)}
+        states = [{"abnormal_start_time": F.col(f"start_{i}"), "abnormal_end_time": F.col("next_time")} for i in (0, 1)]
+    else:
+        there, now = F.col("abnormal_0"), F.col("abnormal_1")
+        key = {"node_uri": F.col("uri"), "time": F.col("t"), "abnormal_type": F.lit(new.name)}
+        states = [
+            {"value": F.col("v"), **{shown: F.col(source) for shown, source in rule.shows.items()}} for rule in (old, new)
+        ]
+    return row_changes(judged, there, now, key, *states)
+
+
 def sorted_passthrough(readings: DataFrame, order: str = "seq") -> DataFrame:
     """Judges nothing: first arrivals, in time order inside every point."""
     keep = [c for c in readings.columns if c not in ("id", "t", order)]

@@ -295,6 +295,7 @@ ORACLE: dict[str, str] = {
     "disc_limit_passthrough": f"{_BASE}, {_UNIQUE} SELECT id, uri, t, v FROM firsts",
     "change_log": _CHANGES,
     "change_log_points": _POINT_CHANGES,
+    "change_log_tables": _CHANGES,
     "apply_changes": f"WITH {_READINGS}, {_rules('rules', True)}, {_judged('limit')} {_range_rows('limit')}",
     "stateful_disc_limit": _ranges("limit"),
     "stateful_disc_switch": _ranges("switch"),

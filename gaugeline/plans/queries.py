@@ -11,10 +11,10 @@ from pyspark.sql import types as T
 
 from gaugeline.functions import decimals, json_fields, keys, times, values
 from gaugeline.operators import aggregates, comparisons, reports
-from gaugeline.operators.changes import POINT_KEY, RANGE_KEY, apply_changes, change_log
+from gaugeline.operators.changes import RANGE_KEY, apply_changes, change_log
 from gaugeline.operators.discriminators import RULES
 from gaugeline.operators.moving import moving_avg
-from gaugeline.operators.runs import abnormal_points, abnormal_ranges, sorted_passthrough
+from gaugeline.operators.runs import abnormal_points, abnormal_ranges, all_ranges, sorted_passthrough, version_changes
 from gaugeline.operators.slices import first_arrivals
 from gaugeline.plans import views
 from gaugeline.session import shared_folder
@@ -521,11 +521,8 @@ def moving_average(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("abnormal_runs")
 def abnormal_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of all four rules together, as rows of the range table (0 = open)."""
-    parts = [abnormal_ranges(judged, rule) for rule, judged in views.judged_all(spark, sf_dir)]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.fillna({"abnormal_end_time": 0})
+    ranges = all_ranges(views.judged_all(spark, sf_dir), list(RULES.values()))
+    return ranges.fillna({"abnormal_end_time": 0})
 
 
 # ---- discriminators --------------------------------------------------------------------------
@@ -556,13 +553,13 @@ for _name in RULES:
 
 
 def _inorder(name: str) -> Query:
-    """Three batches in time order, with a one-row memory per point."""
+    """Messages in time order, with a one-row memory per point."""
 
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        runs = IncrementalRuns(RULES[name], shared_folder(spark, "inorder"), DAY, late="drop")
-        bound = views.bound(spark, sf_dir)
-        for n, batch in enumerate(_in_batches(bound, F.col("t"))):
-            runs(batch, n)
+        path = shared_folder(spark, "inorder")
+        runs = IncrementalRuns(RULES[name], f"{path}/runs", DAY, late="drop")
+        messages = _arriving(spark, sf_dir, f"{path}/inbox", F.col("t"))
+        jobs.discriminate(messages, views.rules, runs, f"{path}/checkpoint", drain=True).awaitTermination()
         return runs.table(spark, "ranges")
 
     return build
@@ -577,49 +574,63 @@ def disc_limit_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sorted_passthrough(views.bound(spark, sf_dir).select("id", "uri", "t", "v", "seq")).drop("seq")
 
 
-def _rule_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Ranges of the limit rule before and after its bounds changed."""
-    rule = RULES["limit"]
-    return (
-        abnormal_ranges(views.judged(spark, sf_dir, "limit"), rule),
-        abnormal_ranges(views.judged(spark, sf_dir, "limit", new_rules=True), rule),
-    )
+def _version_changes(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """What the new bounds of the limit rule change."""
+    return version_changes(views.judged_versions(spark, sf_dir), *views.LIMIT_VERSIONS, kind)
 
 
 @query("change_log")
 def change_log_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return change_log(*_rule_versions(spark, sf_dir), RANGE_KEY)
+    return _version_changes(spark, sf_dir, "ranges")
 
 
 @query("change_log_points")
 def change_log_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _version_changes(spark, sf_dir, "points")
+
+
+@query("change_log_tables")
+def change_log_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same change log from the two tables alone, as where nothing is known but their rows."""
     rule = RULES["limit"]
-    old, new = (
-        abnormal_points(views.judged(spark, sf_dir, "limit", new_rules=new), rule) for new in (False, True)
-    )
-    return change_log(old, new, POINT_KEY)
+    old, new = (abnormal_ranges(views.judged(spark, sf_dir, "limit", new_rules=new), rule) for new in (False, True))
+    return change_log(old, new, RANGE_KEY)
 
 
 @query("apply_changes")
 def apply_range_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The old ranges after the change log is the new ranges. The log is applied twice over: replay
     must not matter."""
-    old, new = _rule_versions(spark, sf_dir)
     path = shared_folder(spark, "changes")
+    log = _version_changes(spark, sf_dir, "ranges")
     for batch_id in (1, 2):
-        change_log(old, new, RANGE_KEY).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        log.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    old = abnormal_ranges(views.judged(spark, sf_dir, "limit"), RULES["limit"])
     return apply_changes(old, spark.read.parquet(path), RANGE_KEY)
 
 
 # ---- streaming -------------------------------------------------------------------------------
 
 
-def _in_batches(bound: DataFrame, arrival: Column, count: int = 3) -> list[DataFrame]:
-    """All readings, cut into batches by time of arrival."""
+def _arriving(spark: SparkSession, sf_dir: str, inbox: str, arrival: Column, count: int = 3) -> DataFrame:
+    """A stream of messages over files that hold the readings by time of arrival, a slice of time after the other.
+
+    A file says when it was written and numbers its rows, which is the order of the stream. A batch takes as many files as
+    a slice has.
+    """
+    readings = views.readings(spark, sf_dir)
     span = (NOW - DATA_START) // count
     number = F.least(F.lit(count - 1), F.greatest(F.lit(0), F.floor((arrival - DATA_START) / span)))
-    numbered = bound.withColumn("_batch", number)
-    return [numbered.filter(F.col("_batch") == n).drop("_batch") for n in range(count)]
+    # The value as text without a type letter, so that every reading takes part.
+    fields = [F.col("gateway_id").alias("gatewayId"), "namespace", F.col("point_id").alias("pointId"), "t", "s"]
+    message = F.to_json(F.array(F.struct(*fields, F.col("v").cast("string").alias("v"))))
+    files = 1
+    for n in range(count):
+        part = readings.filter(number == n).repartitionByRange("seq").sortWithinPartitions("seq")
+        part.select(message.alias("value")).write.parquet(f"{inbox}/{n}")
+        files = max(files, len(spark.read.schema("value STRING").parquet(f"{inbox}/{n}").inputFiles()))
+    layout = T.StructType([T.StructField("value", T.StringType())])
+    return src.with_order(src.open_stream(spark, "parquet", layout, f"{inbox}/*", per_trigger=files), src.file_order())
 
 
 def _late_arrival() -> Column:
@@ -629,9 +640,10 @@ def _late_arrival() -> Column:
 
 def _stateful(name: str, kind: str) -> Query:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        runs = IncrementalRuns(RULES[name], shared_folder(spark, "runs"), DAY)
-        for n, batch in enumerate(_in_batches(views.bound(spark, sf_dir), _late_arrival())):
-            runs(batch, n)
+        path = shared_folder(spark, "runs")
+        runs = IncrementalRuns(RULES[name], f"{path}/runs", DAY)
+        messages = _arriving(spark, sf_dir, f"{path}/inbox", _late_arrival())
+        jobs.discriminate(messages, views.rules, runs, f"{path}/checkpoint", drain=True).awaitTermination()
         return runs.table(spark, kind)
 
     return build
@@ -645,9 +657,10 @@ query("stateful_disc_amplitude")(_stateful("amplitude", "ranges"))
 
 @query("stateful_moving_avg")
 def stateful_moving_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    averages = IncrementalMovingAvg(shared_folder(spark, "moving"), DAY, 6 * HOUR)
-    for n, batch in enumerate(_in_batches(views.bound(spark, sf_dir), _late_arrival())):
-        averages(batch, n)
+    path = shared_folder(spark, "moving")
+    averages = IncrementalMovingAvg(f"{path}/averages", DAY, 6 * HOUR)
+    messages = _arriving(spark, sf_dir, f"{path}/inbox", _late_arrival())
+    jobs.moving_average(messages, views.rules, averages, f"{path}/checkpoint", drain=True).awaitTermination()
     out = averages.table(spark)
     return out.select("id", "uri", "t", "v", F.round("moving_avg", 9).alias("moving_avg"))
 

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.functions.times import ntz_millis
-from gaugeline.operators.discriminators import RULES, Discriminator
-from gaugeline.operators.runs import annotate
+from gaugeline.operators.discriminators import RULES, Discriminator, renamed
+from gaugeline.operators.runs import annotate, judge
 from gaugeline.operators.slices import SLICE, first_arrivals, with_slice
 from gaugeline.sources.rules import join_rules
 
@@ -86,7 +86,19 @@ def judged(spark: SparkSession, sf_dir: str, name: str, new_rules: bool = False)
     return annotate(series(bound(spark, sf_dir, new_rules), rule), rule)
 
 
-def judged_all(spark: SparkSession, sf_dir: str) -> list[tuple[Discriminator, DataFrame]]:
-    """Every rule over one series: its scan and the removal of duplicates are shared."""
-    unique = series(bound(spark, sf_dir), *RULES.values())
-    return [(rule, annotate(unique, rule)) for rule in RULES.values()]
+def judged_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rule over one series, in one pass."""
+    rules_used = list(RULES.values())
+    return judge(series(bound(spark, sf_dir), *rules_used), rules_used)
+
+
+# The limit rule over the second version of the bounds.
+NEW_BOUNDS = {"upperbound": "new_upperbound", "lowerbound": "new_lowerbound"}
+LIMIT_VERSIONS = (RULES["limit"], renamed(RULES["limit"], NEW_BOUNDS))
+
+
+def judged_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One series under both versions of the limit rule."""
+    second = rules(spark, new=True).select("id", *[F.col(c).alias(new) for c, new in NEW_BOUNDS.items()])
+    both = join_rules(readings(spark, sf_dir), rules(spark).join(second, "id")).filter("id IS NOT NULL")
+    return judge(series(both, *LIMIT_VERSIONS), LIMIT_VERSIONS)

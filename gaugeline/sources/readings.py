@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,12 +48,47 @@ def _text(value: str) -> Column:
     return F.col(value).cast("string")
 
 
+# Readings of one message that the order of arrival tells apart; later ones share a place.
+PLACES = 100_000
+
+
+def topic_order() -> Column:
+    """Place of a message in its topics: partition and offset, as one number. Topics and partitions have no
+    order of their own; the same messages get the same numbers however they are read."""
+    partition = F.pmod(F.xxhash64("topic", "partition"), F.lit(1_000_000_000)).cast("decimal(9,0)")
+    offset = F.col("offset").cast("decimal(20,0)")
+    return (partition * F.lit(Decimal(10**19)) + offset).cast("decimal(33,0)")
+
+
+def file_order() -> Column:
+    """Place of a row of a Parquet file: when the file was written, the file, and the row in it, as one number."""
+    written = F.unix_millis("_metadata.file_modification_time").cast("decimal(13,0)")
+    file = F.pmod(F.xxhash64("_metadata.file_path"), F.lit(1_000_000_000)).cast("decimal(9,0)")
+    row = F.col("_metadata.row_index").cast("decimal(11,0)")
+    return ((written * F.lit(Decimal(10**9)) + file).cast("decimal(22,0)") * F.lit(Decimal(10**11)) + row).cast("decimal(33,0)")
+
+
+def with_order(messages: DataFrame, order: Column | None = None) -> DataFrame:
+    """Adds ``arrival``, the place of a message in its source: ``order``, else that of Kafka's columns, if it has them."""
+    if order is None and {"topic", "partition", "offset"} <= set(messages.columns):
+        order = topic_order()
+    return messages if order is None else messages.withColumn("arrival", order)
+
+
 def parse_array(
     messages: DataFrame, value: str = "value", schema: T.StructType = schemas.WIRE
 ) -> DataFrame:
-    """A JSON array of readings per message -> one row per reading."""
+    """A JSON array of readings per message -> one row per reading.
+
+    Where messages have ``arrival`` (see ``with_order``), readings get ``seq``: the message's place, then that in the array.
+    """
     items = F.from_json(_text(value), T.ArrayType(schema))
-    return _named(messages.select(F.explode(items).alias("item")).select("item.*"))
+    if "arrival" not in messages.columns:
+        return _named(messages.select(F.explode(items).alias("item")).select("item.*"))
+    placed = messages.select("arrival", F.posexplode(items).alias("place", "item"))
+    place = F.least(F.col("place"), F.lit(PLACES - 1)).cast("decimal(5,0)")
+    seq = F.col("arrival") * F.lit(Decimal(PLACES)) + place
+    return _named(placed.select(seq.cast("decimal(38,0)").alias("seq"), "item.*"))
 
 
 def parse_object(

@@ -2,111 +2,102 @@
 
 Each micro-batch is a small batch job built from the batch operators, so it has the same plans and
 the same protection against busy points; no task ever owns a point. What must survive between
-batches is a table, the *tail*: the readings not older than the watermark, plus one *anchor* per point.
-A batch does three things:
+batches is a table, the *tail*: the readings not older than the watermark, plus one *anchor* per point, in buckets of points
+(``state``). A batch does three things:
 
 1. keep what is new: not older than the watermark, not known, first arrival of its ``(id, t)``;
-2. annotate the tail of the touched points without and with the new readings; the difference of the
-   two is the change log of the batch;
-3. write the changes, then the new tail.
+2. annotate the touched buckets with the new readings. A reading of the tail carries how it was judged before, so its
+   change, and with it the change log of the batch, shows on its own row;
+3. write the changes, then the touched buckets of the tail.
 
 The anchor is the last reading below the watermark. Its ``seed`` says how it was judged and where
 its run began, which is all that later readings need to know of evicted ones; results are
-therefore the same as over the whole history.
+therefore the same as over the whole history. Buckets whose points are all silent are swept once they hold readings
+that went out a whole delay ago.
 
-Batch N reads the tail of N-1 and replaces only its own folders, so repeating a batch after a failure
+Batch N reads the state of N-1 and replaces only its own folders, so repeating a batch after a failure
 leaves the same files. Folders lie in the shared folder of the cluster and are the only memory.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.functions.times import DAY_MS
-from gaugeline.operators.changes import POINT_KEY, RANGE_KEY, apply_changes, change_log
+from gaugeline.operators.changes import POINT_KEY, RANGE_KEY, apply_changes, row_changes
 from gaugeline.operators.discriminators import Discriminator
 from gaugeline.operators.moving import moving_avg
-from gaugeline.operators.runs import NORMAL_SEED, abnormal_points, abnormal_ranges, annotate
+from gaugeline.operators.runs import NORMAL_SEED, annotate
 from gaugeline.operators.slices import first_arrivals
+from gaugeline.streaming.state import BUCKET, BucketedState, Manifest, output
 
 BatchSink = Callable[[DataFrame, int], None]
 
 
-class _Tail:
-    """The table carried from batch to batch and the latest event time, in two alternating slots."""
+@dataclass
+class _Taken:
+    """What a batch starts from."""
 
-    def __init__(self, root: str, delay_ms: int) -> None:
-        self.root = root.rstrip("/")
-        self.delay_ms = delay_ms
-
-    def _slot(self, kind: str, batch_id: int) -> str:
-        return f"{self.root}/{kind}/{batch_id % 2}"
-
-    def load(self, spark: SparkSession, batch_id: int) -> tuple[DataFrame | None, int | None]:
-        """(tail, latest event time) after the batch before ``batch_id``."""
-        if batch_id == 0:
-            self._refuse_foreign(spark)
-            return None, None
-        mark = spark.read.parquet(self._slot("mark", batch_id - 1)).first()
-        if mark["batch_id"] != batch_id - 1:
-            raise RuntimeError(f"expected the state of batch {batch_id - 1}, found {mark['batch_id']}")
-        return spark.read.parquet(self._slot("tail", batch_id - 1)), mark["latest"]
-
-    def _refuse_foreign(self, spark: SparkSession) -> None:
-        """Batch 0 may repeat itself, but not begin over the folder of a stream that went further."""
-        for slot in (0, 1):
-            path = self._slot("mark", slot)
-            hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-            if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
-                continue
-            mark = spark.read.parquet(path).first()
-            if mark is not None and mark["batch_id"] > 0:
-                raise RuntimeError(f"{self.root} holds batch {mark['batch_id']} of another run: use a new folder")
-
-    def save(self, tail: DataFrame, batch_id: int, latest: int | None) -> None:
-        tail.hint("rebalance").write.mode("overwrite").parquet(self._slot("tail", batch_id))
-        mark = tail.sparkSession.range(1, numPartitions=1).select(
-            F.lit(batch_id).cast("bigint").alias("batch_id"), F.lit(latest).cast("bigint").alias("latest")
-        )
-        mark.write.mode("overwrite").parquet(self._slot("mark", batch_id))
-
-    def output(self, rows: DataFrame, kind: str, batch_id: int) -> None:
-        # Rebalanced, so that a batch leaves files of a useful size, not one per shuffle partition.
-        target = f"{self.root}/{kind}/batch_id={batch_id}"
-        rows.hint("rebalance").write.mode("overwrite").parquet(target)
+    before: Manifest
+    latest: int | None
+    touched: list[int]
+    fresh: DataFrame
+    old: DataFrame | None
 
 
 class _Incremental:
-    """What both incremental operators share: taking in a batch."""
+    """What the incremental operators share: taking in a batch."""
 
-    def __init__(self, root: str, delay_ms: int, columns: Sequence[str], order: str) -> None:
-        self.tail = _Tail(root, delay_ms)
+    def __init__(self, root: str, delay_ms: int, columns: Sequence[str], order: str, keep_ms: int, buckets: int) -> None:
+        self.root = root.rstrip("/")
+        self.tail = BucketedState(root, buckets=buckets)
+        self.delay_ms = delay_ms
+        self.keep_ms = keep_ms
         self.columns = list(columns)
         self.order = order
 
-    def _accept(
-        self, batch: DataFrame, tail: DataFrame | None, latest: int | None, batch_id: int
-    ) -> tuple[DataFrame, int | None]:
-        """(new readings, latest event time including them); rows beyond the watermark go to ``late``.
-
-        The new readings are kept in memory or on disk until the caller lets them go; what they are made of is not."""
-        unique = first_arrivals(batch, ("id", "t"), self.order, [c for c in self.columns if c != "t"])
-        unique = unique.select("id", *self.columns).persist()
-        fresh = unique
-        if latest is not None:
-            watermark = latest - self.tail.delay_ms
-            self.tail.output(unique.filter(F.col("t") < watermark), "late", batch_id)
-            fresh = unique.filter(F.col("t") >= watermark)
-        if tail is not None:
-            fresh = fresh.join(tail.select("id", "t"), ["id", "t"], "left_anti")
-        fresh = fresh.persist()
-        seen = fresh.agg(F.max("t")).first()[0]
-        self.held = unique
-        known = [x for x in (latest, seen) if x is not None]
-        return fresh, max(known) if known else None
+    def _take(self, batch: DataFrame, batch_id: int) -> _Taken:
+        """The new readings and the old ones of the touched buckets; rows beyond the watermark go to ``late``.
+
+        A bucket is touched if it gets a reading or has been due for ``keep_ms``.
+        """
+        spark = batch.sparkSession
+        before = self.tail.load(spark, batch_id)
+        watermark = None if before.latest is None else before.latest - self.delay_ms
+        batch = batch.filter("id IS NOT NULL")
+        late = F.coalesce(F.col("t") < F.lit(watermark), F.lit(False))
+        seen, late_rows, buckets = batch.agg(
+            F.max("t"), F.count(F.when(late, 1)), F.collect_set(F.when(~late, self.tail.bucket()))
+        ).first()
+        times = [x for x in (before.latest, seen) if x is not None]
+        latest = max(times) if times else None
+        values = [c for c in self.columns if c != "t"]
+
+        def unique(rows: DataFrame) -> DataFrame:
+            return first_arrivals(rows, ("id", "t"), self.order, values).select("id", *self.columns)
+
+        if late_rows:
+            output(unique(batch.filter(late)), self.root, "late", batch_id)
+        due = [] if latest is None else [b for b, t in before.due.items() if t < latest - self.delay_ms - self.keep_ms]
+        touched = sorted({*buckets, *due})
+        old = self.tail.rows(spark, before, touched)
+        fresh = unique(batch.filter(~late))
+        if old is not None:
+            fresh = fresh.join(old.select("id", "t"), ["id", "t"], "left_anti")
+        return _Taken(before, latest, touched, fresh, old)
+
+    def _save(self, kept: DataFrame, taken: _Taken, batch_id: int, due: Column) -> None:
+        """``due`` is the time of a row below which the watermark lets it go."""
+        found = kept.groupBy(self.tail.bucket().alias(BUCKET)).agg(F.min(due)).collect()
+        self.tail.save(kept.drop("due"), taken.before, batch_id, taken.latest, taken.touched, {b: t for b, t in found})
+
+    def state(self, spark: SparkSession) -> DataFrame | None:
+        """The tail as of the last batch."""
+        return self.tail.newest(spark)
 
 
 class IncrementalRuns(_Incremental):
@@ -132,66 +123,59 @@ class IncrementalRuns(_Incremental):
         slice_ms: int = DAY_MS,
         on_changes: Callable[[DataFrame, DataFrame, int], None] | None = None,
         on_normal: BatchSink | None = None,
+        buckets: int = 64,
     ) -> None:
         if late not in ("update", "drop"):
             raise ValueError("late must be 'update' or 'drop'")
-        super().__init__(root, delay_ms, ["t", "v", *rule.params, *carry], order)
+        super().__init__(root, delay_ms, ["t", "v", *rule.params, *carry], order, delay_ms, buckets)
         self.rule = rule
-        self.carry = [*carry, "fresh"]
+        self.carry = [*carry, "was"]
         self.drop_late = late == "drop"
         self.slice_ms = slice_ms
         self.on_changes = on_changes
         self.on_normal = on_normal
 
+    # How a reading was judged, kept on its row.
+    JUDGED = ("abnormal", "previous_value", "exception_start_time", "is_last", "exception_end_time")
+    WAS = "struct<abnormal:boolean,previous_value:double,exception_start_time:bigint,is_last:boolean,exception_end_time:bigint>"
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        tail, latest = self.tail.load(batch.sparkSession, batch_id)
-        fresh, latest = self._accept(batch, tail, latest, batch_id)
-        new = fresh.withColumns({"seed": F.lit(None).cast("bigint"), "fresh": F.lit(True)})
-        if tail is None:
-            old = new.filter(F.lit(False))
-            rest = None
-        else:
+        taken = self._take(batch, batch_id)
+        new = taken.fresh.withColumns({"seed": F.lit(None).cast("bigint"), "was": F.lit(None).cast(self.WAS)})
+        series = new
+        if taken.old is not None:
             if self.drop_late:
-                last = tail.select("id", F.col("t").alias("last_t"))
+                last = taken.old.select("id", F.col("t").alias("last_t"))
                 new = new.join(last, "id", "left").filter("last_t IS NULL OR t > last_t").drop("last_t")
-            touched = new.select("id")
-            if latest is not None and not self.drop_late:
-                # Silent points too, once more than their anchor lies below the watermark.
-                below = tail.filter(F.col("t") < latest - self.tail.delay_ms)
-                touched = touched.union(below.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id"))
-            touched = touched.distinct()
-            old = tail.join(touched, "id", "left_semi").withColumn("fresh", F.lit(False))
-            rest = tail.join(touched, "id", "left_anti")
-
-        # Both annotations in one pass: the old readings twice, the new ones in the later version only.
-        versions = old.withColumn("version", F.explode(F.array(F.lit(0), F.lit(1)))).unionByName(
-            new.withColumn("version", F.lit(1))
-        )
-        annotated = annotate(
-            versions,
-            self.rule,
-            key=("id", "version"),
-            carry=self.carry,
-            slice_ms=self.slice_ms,
-            seeded=True,
-        ).persist()
-        before, after = annotated.filter("version = 0"), annotated.filter("version = 1")
-        points = change_log(
-            abnormal_points(before, self.rule), abnormal_points(after, self.rule), POINT_KEY
-        ).persist()
-        ranges = change_log(
-            abnormal_ranges(before, self.rule), abnormal_ranges(after, self.rule), RANGE_KEY
-        ).persist()
-        self.tail.output(points, "points", batch_id)
-        self.tail.output(ranges, "ranges", batch_id)
+            series = taken.old.unionByName(new)
+        annotated = annotate(series, self.rule, carry=self.carry, slice_ms=self.slice_ms, seeded=True)
+        # What an anchor was judged against is gone from the tail and can't change any more.
+        previous = F.when(F.col("seed").isNotNull(), F.col("was.previous_value")).otherwise(F.col("previous_value"))
+        annotated = annotated.withColumn("previous_value", previous).persist()
+        points, ranges = self._point_changes(annotated), self._range_changes(annotated)
+        output(points, self.root, "points", batch_id)
+        output(ranges, self.root, "ranges", batch_id)
         if self.on_changes is not None:
             self.on_changes(points, ranges, batch_id)
         if self.on_normal is not None:
-            self.on_normal(after.filter("fresh AND NOT abnormal"), batch_id)
-        kept = self._evict(after, latest)
-        self.tail.save(kept if rest is None else kept.unionByName(rest), batch_id, latest)
-        for cached in (points, ranges, annotated, fresh, self.held):
-            cached.unpersist()
+            self.on_normal(annotated.filter("was IS NULL AND NOT abnormal"), batch_id)
+        self._save(self._evict(annotated, taken.latest), taken, batch_id, F.col("due"))
+        annotated.unpersist()
+
+    def _point_changes(self, annotated: DataFrame) -> DataFrame:
+        """Of what a point shows only ``previous_value`` can change."""
+        was = F.col("was")
+        key = {"node_uri": F.col("uri"), "time": F.col("t"), "abnormal_type": F.lit(self.rule.name)}
+        now = {"value": F.col("v"), **{shown: F.col(source) for shown, source in self.rule.shows.items()}}
+        before = now | {shown: was[source] for shown, source in self.rule.shows.items() if source in self.JUDGED}
+        return row_changes(annotated, was["abnormal"], F.col("abnormal"), key, before, now)
+
+    def _range_changes(self, annotated: DataFrame) -> DataFrame:
+        was = F.col("was")
+        key = {"node_uri": F.col("uri"), "last_abnormal_time": F.col("t"), "abnormal_type": F.lit(self.rule.name)}
+        shown = {"abnormal_start_time": "exception_start_time", "abnormal_end_time": "exception_end_time"}
+        before, now = ({name: row[c] for name, c in shown.items()} for row in (was, annotated))
+        return row_changes(annotated, was["is_last"], F.col("is_last"), key, before, now)
 
     def _evict(self, annotated: DataFrame, latest: int | None) -> DataFrame:
         """The tail to remember: what is not below the watermark, and the anchor before it."""
@@ -199,17 +183,18 @@ class IncrementalRuns(_Incremental):
         if self.drop_late:
             old, keep = F.lit(True), following.isNull()
         else:
-            watermark = F.lit(None if latest is None else latest - self.tail.delay_ms).cast("bigint")
+            watermark = F.lit(None if latest is None else latest - self.delay_ms).cast("bigint")
             old = F.coalesce(t < watermark, F.lit(False))
             keep = ~old | following.isNull() | (following >= watermark)
         judged = F.coalesce("exception_start_time", F.lit(NORMAL_SEED).cast("bigint"))
         seed = F.when(old, judged).otherwise(F.col("seed"))
-        return annotated.filter(keep).select("id", *self.columns, seed.alias("seed"))
+        was = F.struct(*self.JUDGED).alias("was")
+        return annotated.filter(keep).select("id", *self.columns, seed.alias("seed"), was, following.alias("due"))
 
     def table(self, spark: SparkSession, kind: str) -> DataFrame:
         """The ``points`` or ``ranges`` table as of the last batch: all changes so far, replayed."""
         key = {"points": POINT_KEY, "ranges": RANGE_KEY}[kind]
-        log = spark.read.parquet(f"{self.tail.root}/{kind}")
+        log = spark.read.parquet(f"{self.root}/{kind}")
         base = log.drop("op", "batch_id").filter(F.lit(False))
         return apply_changes(base, log, key)
 
@@ -229,41 +214,38 @@ class IncrementalMovingAvg(_Incremental):
         order: str = "seq",
         clamp_nonpositive: bool = False,
         on_rows: BatchSink | None = None,
+        buckets: int = 64,
     ) -> None:
-        super().__init__(root, delay_ms, ["t", "v", *carry], order)
+        super().__init__(root, delay_ms, ["t", "v", *carry], order, delay_ms + 2 * window, buckets)
         self.window = window
         self.clamp_nonpositive = clamp_nonpositive
         self.on_rows = on_rows
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        tail, latest = self.tail.load(batch.sparkSession, batch_id)
-        fresh, latest = self._accept(batch, tail, latest, batch_id)
-        series = fresh.withColumn("is_new", F.lit(1))
-        if tail is not None:
-            touched = fresh.select("id").distinct()
-            old = tail.join(touched, "id", "left_semi").withColumn("is_new", F.lit(0))
-            series = old.unionByName(series)
+        taken = self._take(batch, batch_id)
+        series = taken.fresh.withColumn("is_new", F.lit(1))
+        if taken.old is not None:
+            series = taken.old.withColumn("is_new", F.lit(0)).unionByName(series)
         # A new reading inside the window is what makes an average new or changed.
         averaged = moving_avg(
             series,
             self.window,
             clamp_nonpositive=self.clamp_nonpositive,
             marks={"new_in_window": F.col("is_new")},
-        )
-        rows = averaged.filter("new_in_window > 0").select("id", *self.columns, "moving_avg").persist()
-        self.tail.output(rows, "averages", batch_id)
+        ).persist()
+        rows = averaged.filter("new_in_window > 0").select("id", *self.columns, "moving_avg")
+        output(rows, self.root, "averages", batch_id)
         if self.on_rows is not None:
             self.on_rows(rows, batch_id)
-        known = fresh if tail is None else tail.unionByName(fresh)
-        if latest is not None:
-            known = known.filter(F.col("t") >= latest - self.tail.delay_ms - self.window)
-        self.tail.save(known, batch_id, latest)
-        for cached in (rows, fresh, self.held):
-            cached.unpersist()
+        known = averaged.select("id", *self.columns)
+        if taken.latest is not None:
+            known = known.filter(F.col("t") >= taken.latest - self.delay_ms - self.window)
+        self._save(known, taken, batch_id, F.col("t"))
+        averaged.unpersist()
 
     def table(self, spark: SparkSession) -> DataFrame:
         """The average of every reading as of the last batch."""
-        rows = spark.read.parquet(f"{self.tail.root}/averages")
+        rows = spark.read.parquet(f"{self.root}/averages")
         values = [c for c in rows.columns if c not in ("id", "t", "batch_id")]
         newest = F.max_by(F.struct(*values), "batch_id").alias("newest")
         return rows.groupBy("id", "t").agg(newest).select("id", "t", "newest.*")

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from gaugeline.operators import aggregates
 from gaugeline.sinks import keyed_table
 from gaugeline.sinks.dispatch import write_stream
-from gaugeline.sources.readings import clean, parse_array, rejected, unreadable
+from gaugeline.sources.readings import clean, parse_array, rejected, unreadable, with_order
 from gaugeline.sources.rules import join_rules, rule_id, split_bound
 from gaugeline.streaming.incremental import IncrementalMovingAvg, IncrementalRuns
 
@@ -28,10 +28,13 @@ def with_watermark(readings: DataFrame, delay: str) -> DataFrame:
     return timed.withWatermark("event_time", delay)
 
 
-def arrivals(readings: DataFrame, order: str | None = None) -> DataFrame:
-    """Adds ``seq``, the order of arrival inside a batch: that of the source where it has one."""
-    seq = F.col(order) if order else F.monotonically_increasing_id()
-    return readings.withColumn("seq", seq)
+def arrivals(readings: DataFrame) -> DataFrame:
+    """Readings with ``seq``, their order of arrival.
+
+    It is the source's (see ``sources.readings.with_order``), the same however a batch is partitioned. Lines of text files have
+    none: there it is the order in which this batch happens to be read.
+    """
+    return readings if "seq" in readings.columns else readings.withColumn("seq", F.monotonically_increasing_id())
 
 
 def discriminate(
@@ -60,7 +63,7 @@ def discriminate(
             on_unbound(unbound, batch_id)
         joined.unpersist()
 
-    return write_stream(messages, "foreach_batch", checkpoint, every=every, drain=drain, write=step)
+    return write_stream(with_order(messages), "foreach_batch", checkpoint, every=every, drain=drain, write=step)
 
 
 def moving_average(
@@ -86,7 +89,7 @@ def moving_average(
             on_unbound(unbound, batch_id)
         joined.unpersist()
 
-    return write_stream(messages, "foreach_batch", checkpoint, every=every, drain=drain, write=step)
+    return write_stream(with_order(messages), "foreach_batch", checkpoint, every=every, drain=drain, write=step)
 
 
 def minute_values(

@@ -150,8 +150,7 @@ def test_silent_points_leave_an_anchor_and_nothing_stays_cached(spark, tmp_path)
     runs(_batch(spark, [("silent", t, 20.0 if t > 30 else 5.0) for t in range(50)]), 0)
     for n in range(1, 4):
         runs(_batch(spark, [("busy", 100_000 * n, 5.0)]), n)
-    tail = spark.read.parquet(str(tmp_path / "runs" / "tail" / "1"))
-    assert [r.t for r in tail.filter("id = 'silent'").collect()] == [49]
+    assert [r.t for r in runs.state(spark).filter("id = 'silent'").collect()] == [49]
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
     # The anchor still knows its run: a normal reading ends it.
     runs(_batch(spark, [("silent", 400_000, 5.0)]), 4)

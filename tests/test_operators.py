@@ -183,3 +183,22 @@ def test_versions(spark):
     assert rows(keyed.versions(cells, ["k"]), "k", "ts") == [("a", 199), ("b", 5)]
     newest = keyed.versions(cells, ["k"], max_versions=3, min_stamp=5, max_stamp=100)
     assert rows(newest, "k", "ts") == [("a", 97), ("a", 98), ("a", 99), ("b", 5)]
+
+
+def test_versions_of_a_rule_in_one_pass_equal_the_join_of_tables(spark):
+    from gaugeline.operators.changes import POINT_KEY, RANGE_KEY, change_log
+    from gaugeline.operators.discriminators import RULES, renamed
+    from gaugeline.operators.runs import abnormal_points, abnormal_ranges, judge, verdict, version_changes
+
+    values = [5, 11, 12, 3, 30, 31, 4, 12, 12, 40, 1, 11]
+    first = series(spark, [("p", 10 * n, v) for n, v in enumerate(values)] + [("q", n, v) for n, v in enumerate(values[::-1])])
+    both = first.selectExpr("*", "'20' AS up2", "'4' AS low2")
+    old = RULES["limit"]
+    new = renamed(old, {"upperbound": "up2", "lowerbound": "low2"})
+    judged = judge(both, (old, new), slice_ms=30)
+    for kind, form, key in (("points", abnormal_points, POINT_KEY), ("ranges", abnormal_ranges, RANGE_KEY)):
+        expected = change_log(form(verdict(judged, 0), old), form(verdict(judged, 1), new), key)
+        got = version_changes(judged, old, new, kind)
+        assert sorted(got.columns) == sorted(expected.columns)
+        assert rows(got, *expected.columns) == rows(expected, *expected.columns)
+        assert {r.op for r in got.collect()} == {1, 2, -1} or kind == "points"

@@ -79,3 +79,15 @@ def test_window_values_are_hashed_and_combined_first(spark):
     text = plan(aggregates.window_last(bound, tie="seq"))
     assert "SortAggregate" not in text
     assert text.count("HashAggregate") == 2 and "partial_max_by" in text
+
+
+@pytest.mark.parametrize("name", ["abnormal_runs", "change_log"])
+def test_rules_and_versions_are_judged_in_one_pass(spark, name):
+    """One scan, and one exchange that deals readings by slice; the edge table uses it again."""
+    df = QUERIES[name](spark, SF_DIR)
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1
+    dealt = [line for line in final.splitlines() if "Exchange hashpartitioning(id" in line and "REPARTITION_BY_COL" in line]
+    assert len([line for line in dealt if "ReusedExchange" not in line]) == 1
+    assert "FullOuter" not in final
