@@ -181,3 +181,27 @@ def sliding_last_stream(
         .agg(_latest("v", None, tie).alias("last_v"), F.max("t").alias("last_t"))
     )
     return out.select(*keys, F.unix_millis("w.start").alias("window_start"), "last_v", "last_t")
+
+
+def sliding_last_panes(
+    readings: DataFrame,
+    keys: Sequence[str] = ("point_id",),
+    length: str = "1 minute",
+    slide: str = "1 second",
+    tie: str | None = None,
+) -> DataFrame:
+    """``sliding_last`` as two streaming aggregates: readings to one row per slide, these rows to windows.
+
+    A reading meets the state once, in its slide, and not in each window that holds it; only slide rows are copied. Both
+    aggregates let go of what the watermark passed, so their state is bounded. Needs a watermark on ``event_time`` and append
+    mode; a window comes when the watermark passes its end. Equal times go to the highest ``tie``, a whole number.
+    """
+    slide_ms = span_millis(slide)
+    panes = readings.groupBy(F.window("event_time", slide).alias("pane"), *keys).agg(
+        _latest("v", slide_ms, tie).alias("last_v"), F.max("t").alias("last_t")
+    )
+    # A pane is over when the watermark passes its end, and stands for its last instant in the windows.
+    out = panes.groupBy(F.window(F.window_time("pane"), length, slide).alias("w"), *keys).agg(
+        F.max_by("last_v", "last_t").alias("last_v"), F.max("last_t").alias("last_t")
+    )
+    return out.select(*keys, F.unix_millis("w.start").alias("window_start"), "last_v", "last_t")

@@ -189,7 +189,21 @@ def _dec(column: str) -> str:
 _QUOTIENT = f"""CAST((2 * {_dec('l_extendedprice')} * 10000000000 + {_dec('l_quantity * 7')})
   // (2 * {_dec('l_quantity * 7')}) AS DOUBLE) / 10000000000"""
 
+# Slice of the time of arrival: every third reading comes 8 hours late, every third 16.
+_SLICE = f"""least(2, greatest(0, floor((t + (seq % 3) * {8 * HOUR} - {DATA_START}) / {(NOW - DATA_START) // 3}.0)))"""
+_RUNNING = f"""WITH {_READINGS}, placed AS (SELECT *, t - t % {HOUR} AS window_start, row_number() OVER (
+   PARTITION BY id, t - t % {HOUR} ORDER BY t DESC, {_SLICE} DESC, seq DESC) AS rn FROM readings),
+ latest AS (SELECT max(t) AS latest FROM readings)
+ SELECT id, window_start, round(sum(v), 4) AS sum_v, count(*) AS n, round(avg(v), 9) AS avg_v,
+  max(CASE WHEN rn = 1 THEN v END) AS last_v, window_start + {HOUR} <= latest - {DAY} AS closed
+ FROM placed, latest GROUP BY id, window_start, latest"""
+_PASSED = f"""SELECT * FROM (WITH {_READINGS} {_sliding('point_id', HOUR, 1200000)})
+ WHERE window_start + {HOUR} <= (SELECT max(epoch_us(ts) // 1000) FROM events) - {HOUR}"""
+
 ORACLE: dict[str, str] = {
+    "stream_running_windows": _RUNNING,
+    "stream_running_windows_cleaned": _RUNNING,
+    "stream_sliding_panes": _PASSED,
     "src_readings_stream": f"WITH {_READINGS} SELECT seq, id, t, v FROM readings",
     "src_parse_array": f"""WITH {_READINGS}
  SELECT gateway_id, namespace, point_id, t, s, raw_v AS v FROM readings UNION ALL

@@ -25,8 +25,10 @@ from gaugeline.sinks.once import once_per_batch
 from gaugeline.sources import keyed
 from gaugeline.sources import readings as src
 from gaugeline.sources import rules as rule_source
+from gaugeline.sources import schemas
 from gaugeline.streaming import jobs
 from gaugeline.streaming.incremental import IncrementalMovingAvg, IncrementalRuns
+from gaugeline.streaming.minutes import RunningWindows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,6 +40,8 @@ NOW = 1_706_659_200_000
 REGIONS = 100
 # Files of a micro-batch of the stream queries.
 FILES_PER_BATCH = 1000
+# Buckets of stream state, for the forty points of the rules.
+POINT_BUCKETS = 8
 # Event ids break ties of time.
 TIE = {"tie": "seq"}
 
@@ -557,7 +561,7 @@ def _inorder(name: str) -> Query:
 
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = shared_folder(spark, "inorder")
-        runs = IncrementalRuns(RULES[name], f"{path}/runs", DAY, late="drop")
+        runs = IncrementalRuns(RULES[name], f"{path}/runs", DAY, late="drop", buckets=POINT_BUCKETS)
         messages = _arriving(spark, sf_dir, f"{path}/inbox", F.col("t"))
         jobs.discriminate(messages, views.rules, runs, f"{path}/checkpoint", drain=True).awaitTermination()
         return runs.table(spark, "ranges")
@@ -612,7 +616,9 @@ def apply_range_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- streaming -------------------------------------------------------------------------------
 
 
-def _arriving(spark: SparkSession, sf_dir: str, inbox: str, arrival: Column, count: int = 3) -> DataFrame:
+def _arriving(
+    spark: SparkSession, sf_dir: str, inbox: str, arrival: Column, count: int = 3, cleaned: bool = False
+) -> DataFrame:
     """A stream of messages over files that hold the readings by time of arrival, a slice of time after the other.
 
     A file says when it was written and numbers its rows, which is the order of the stream. A batch takes as many files as
@@ -623,7 +629,8 @@ def _arriving(spark: SparkSession, sf_dir: str, inbox: str, arrival: Column, cou
     number = F.least(F.lit(count - 1), F.greatest(F.lit(0), F.floor((arrival - DATA_START) / span)))
     # The value as text without a type letter, so that every reading takes part.
     fields = [F.col("gateway_id").alias("gatewayId"), "namespace", F.col("point_id").alias("pointId"), "t", "s"]
-    message = F.to_json(F.array(F.struct(*fields, F.col("v").cast("string").alias("v"))))
+    value = [F.col("t").alias("st"), F.col("v")] if cleaned else [F.col("v").cast("string").alias("v")]
+    message = F.to_json(F.array(F.struct(*fields, *value)))
     files = 1
     for n in range(count):
         part = readings.filter(number == n).repartitionByRange("seq").sortWithinPartitions("seq")
@@ -641,7 +648,7 @@ def _late_arrival() -> Column:
 def _stateful(name: str, kind: str) -> Query:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = shared_folder(spark, "runs")
-        runs = IncrementalRuns(RULES[name], f"{path}/runs", DAY)
+        runs = IncrementalRuns(RULES[name], f"{path}/runs", DAY, buckets=POINT_BUCKETS)
         messages = _arriving(spark, sf_dir, f"{path}/inbox", _late_arrival())
         jobs.discriminate(messages, views.rules, runs, f"{path}/checkpoint", drain=True).awaitTermination()
         return runs.table(spark, kind)
@@ -658,13 +665,32 @@ query("stateful_disc_amplitude")(_stateful("amplitude", "ranges"))
 @query("stateful_moving_avg")
 def stateful_moving_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "moving")
-    averages = IncrementalMovingAvg(f"{path}/averages", DAY, 6 * HOUR)
+    averages = IncrementalMovingAvg(f"{path}/averages", DAY, 6 * HOUR, buckets=POINT_BUCKETS)
     messages = _arriving(spark, sf_dir, f"{path}/inbox", _late_arrival())
     jobs.moving_average(messages, views.rules, averages, f"{path}/checkpoint", drain=True).awaitTermination()
     out = averages.table(spark)
     return out.select("id", "uri", "t", "v", F.round("moving_avg", 9).alias("moving_avg"))
 
 
+def _running(cleaned: bool) -> Query:
+    """Running values per point and hour; hours of points that fell silent are closed by the watermark."""
+
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = shared_folder(spark, "running")
+        windows = RunningWindows(f"{path}/windows", DAY, HOUR, buckets=POINT_BUCKETS)
+        messages = _arriving(spark, sf_dir, f"{path}/inbox", _late_arrival(), cleaned=cleaned)
+        layout = schemas.WIRE_CLEANED if cleaned else schemas.WIRE
+        jobs.running_windows(messages, windows, f"{path}/checkpoint", layout, drain=True).awaitTermination()
+        out = windows.table(spark)
+        return out.withColumns({"sum_v": F.round("sum_v", 4), "avg_v": F.round("avg_v", 9)})
+
+    return build
+
+
+query("stream_running_windows")(_running(cleaned=False))
+query("stream_running_windows_cleaned")(_running(cleaned=True))
+
+
 def _stream_minutes(how: str) -> Query:
     """Messages -> readings -> watermark -> windows in update mode -> rules -> keyed table."""
 
@@ -723,6 +749,17 @@ def stream_sliding_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("point_id", "window_start").agg(*newest)
 
 
+@query("stream_sliding_panes")
+def stream_sliding_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sliding window as two chained aggregates in append mode: the windows that the watermark passed."""
+    path = shared_folder(spark, "panes")
+    readings = jobs.with_watermark(aggregates.with_event_time(_event_stream(spark, sf_dir)), "1 hour")
+    windows = aggregates.sliding_last_panes(readings, ("point_id",), "1 hour", "20 minutes", tie="seq")
+    out = windows.writeStream.format("parquet").option("path", f"{path}/rows").option("checkpointLocation", f"{path}/checkpoint")
+    out.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(windows.schema).parquet(f"{path}/rows")
+
+
 # ---- jobs over columns -----------------------------------------------------------------------
 
 

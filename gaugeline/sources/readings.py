@@ -127,6 +127,8 @@ def clean(readings: DataFrame, mark_ingest: bool = True) -> DataFrame:
 def rejected(readings: DataFrame) -> DataFrame:
     """Readings ``clean`` leaves out although they are not text values."""
     raw = F.col("v")
+    if dict(readings.dtypes)["v"] != "string":
+        return readings.filter(F.col("t").isNull() | raw.isNull())
     return readings.filter(
         F.col("t").isNull()
         | raw.isNull()

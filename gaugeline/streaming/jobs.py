@@ -7,14 +7,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from gaugeline.operators import aggregates
 from gaugeline.sinks import keyed_table
 from gaugeline.sinks.dispatch import write_stream
+from gaugeline.sources import schemas
 from gaugeline.sources.readings import clean, parse_array, rejected, unreadable, with_order
 from gaugeline.sources.rules import join_rules, rule_id, split_bound
 from gaugeline.streaming.incremental import IncrementalMovingAvg, IncrementalRuns
+from gaugeline.streaming.minutes import RunningWindows
 
 Rules = Callable[[SparkSession], DataFrame]
 BatchSink = Callable[[DataFrame, int], None]
@@ -92,6 +95,31 @@ def moving_average(
     return write_stream(with_order(messages), "foreach_batch", checkpoint, every=every, drain=drain, write=step)
 
 
+def running_windows(
+    messages: DataFrame,
+    windows: RunningWindows,
+    checkpoint: str,
+    layout: T.StructType = schemas.WIRE,
+    on_reject: Rejects | None = None,
+    every: str | None = None,
+    drain: bool = False,
+) -> StreamingQuery:
+    """Messages -> readings -> running values per point and window; those of silent points are closed in time.
+
+    ``layout`` is ``schemas.WIRE`` for typed values as text or ``schemas.WIRE_CLEANED`` for readings that were cleaned before.
+    """
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        readings = parse_array(batch, schema=layout)
+        if on_reject is not None:
+            on_reject(unreadable(batch, schema=T.ArrayType(layout)), rejected(readings), batch_id)
+        cleaned = arrivals(clean(readings)).withColumn("id", rule_id(F.col("gateway_id"), F.col("point_id"))).persist()
+        windows(cleaned, batch_id)
+        cleaned.unpersist()
+
+    return write_stream(with_order(messages), "foreach_batch", checkpoint, every=every, drain=drain, write=step)
+
+
 def minute_values(
     messages: DataFrame,
     rules: Rules,
