@@ -6,6 +6,8 @@ on whole numbers in DECIMAL and turned back by that power, so any double is take
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,7 +46,17 @@ def _short(x: Column) -> Column:
     return F.when(decimal.cast("double") == number, decimal)
 
 
-def _sum(a: Column, b: Column, sign: int) -> Column:
+def _either(short: Column, wide: Callable[[Column, Column], Column], a: Column, b: Column) -> Column:
+    """``short``, and ``wide(a, b)`` where that is NULL.
+
+    The wide form is rare and long. As a function over an array of one pair it is evaluated only where it is needed and
+    stays out of the generated code, which would otherwise outgrow the 64 KB that a method may have.
+    """
+    pair = F.array(F.struct(a.cast("double").alias("a"), b.cast("double").alias("b")))
+    return F.coalesce(short, F.transform(pair, lambda p: wide(p["a"], p["b"]))[0])
+
+
+def _wide_sum(a: Column, b: Column, sign: int) -> Column:
     (m, e), (n, f) = _parts(a), _parts(b)
     n = n * F.lit(sign)
     low, high = F.least(e, f), F.greatest(e, f)
@@ -55,9 +67,12 @@ def _sum(a: Column, b: Column, sign: int) -> Column:
     # Beyond the room the number of the lower power is far below the last digit of the other one.
     larger = F.when(m == 0, _double(n, f)).when(n == 0, _double(m, e)).when(e > f, _double(m, e)).otherwise(_double(n, f))
     plain = a.cast("double") + b.cast("double") * F.lit(float(sign))
-    wide = F.when(m.isNull() | n.isNull(), plain).when(near, exact).otherwise(larger)
+    return F.when(m.isNull() | n.isNull(), plain).when(near, exact).otherwise(larger)
+
+
+def _sum(a: Column, b: Column, sign: int) -> Column:
     short = _short(a) + _short(b) if sign > 0 else _short(a) - _short(b)
-    return F.coalesce(short.cast("double"), wide)
+    return _either(short.cast("double"), lambda x, y: _wide_sum(x, y, sign), a, b)
 
 
 def add(a: Column, b: Column) -> Column:
@@ -68,11 +83,14 @@ def subtract(a: Column, b: Column) -> Column:
     return _sum(a, b, -1)
 
 
-def multiply(a: Column, b: Column) -> Column:
+def _wide_product(a: Column, b: Column) -> Column:
     (m, e), (n, f) = _parts(a), _parts(b)
     product = _double((m.cast("decimal(18,0)") * n.cast("decimal(18,0)")).cast("decimal(38,0)"), e + f)
-    wide = F.when(m.isNull() | n.isNull(), a.cast("double") * b.cast("double")).otherwise(product)
-    return F.coalesce((_short(a) * _short(b)).cast("double"), wide)
+    return F.when(m.isNull() | n.isNull(), a.cast("double") * b.cast("double")).otherwise(product)
+
+
+def multiply(a: Column, b: Column) -> Column:
+    return _either((_short(a) * _short(b)).cast("double"), _wide_product, a, b)
 
 
 def divide(a: Column, b: Column, digits: int = DIVISION_SCALE) -> Column:
@@ -82,6 +100,15 @@ def divide(a: Column, b: Column, digits: int = DIVISION_SCALE) -> Column:
     """
     if digits < 0:
         raise ValueError("digits must be 0 or more")
+    # A dividend of such a precision gives Spark's quotient exactly ``digits``, rounded once.
+    room = 38 - digits
+    short = F.lit(None).cast("double")
+    if 6 <= digits <= 20:
+        short = (_short(a).cast(f"decimal({room},6)") / F.nullif(_short(b), F.lit(0))).cast("double")
+    return _either(short, lambda x, y: _wide_quotient(x, y, digits), a, b)
+
+
+def _wide_quotient(a: Column, b: Column, digits: int) -> Column:
     (m, e), (n, f) = _parts(a), _parts(b)
     power = e - f + digits
     # Digits of the quotient as a whole number; a double doesn't hold more than 17 of them.
@@ -96,15 +123,9 @@ def divide(a: Column, b: Column, digits: int = DIVISION_SCALE) -> Column:
     sign = F.when((m < 0) != (n < 0), -1).otherwise(1)
     exact = _double(count * sign, F.lit(-digits))
     plain = F.try_divide(a.cast("double"), b.cast("double"))
-    # A dividend of such a precision gives Spark's quotient exactly ``digits``, rounded once.
-    room = 38 - digits
-    short = F.lit(None).cast("double")
-    if 6 <= digits <= 20:
-        short = (_short(a).cast(f"decimal({room},6)") / F.nullif(_short(b), F.lit(0))).cast("double")
-    wide = (
+    return (
         F.when(b.cast("double") == 0, F.lit(None).cast("double"))
         .when(m.isNull() | n.isNull() | (length > 19), plain)
         .when(power < -18, F.lit(0.0))
         .otherwise(exact)
     )
-    return F.coalesce(short, wide)

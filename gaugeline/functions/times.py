@@ -201,3 +201,11 @@ def millis_between(start_text: Column, end_text: Column) -> Column:
         return F.coalesce(ms, F.lit(0).cast("bigint"))
 
     return read(end_text) - read(start_text)
+
+
+def stored_between(stored: Column, start: Column, stop: Column) -> Column:
+    """``start <= epoch ms < stop`` of a stored TIMESTAMP_NTZ, as a range of the column itself: with constant ends it reaches
+    the file scan, which a range of the milliseconds derived from it does not."""
+    zero = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    first, last = (F.timestamp_add("MILLISECOND", x.cast("bigint"), zero) for x in (start, stop))
+    return (stored >= first) & (stored < last)

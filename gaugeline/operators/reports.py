@@ -42,7 +42,8 @@ def hour_rollup(readings: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame
 def past_day(readings: DataFrame, reference: Column, days: int) -> DataFrame:
     """Readings of the day ``days`` before ``reference`` (epoch ms), with that day's marks.
 
-    ``reference`` is a constant, so the range is one too and reaches the file scan.
+    ``reference`` is a constant, so the range is one too. It reaches the file scan where ``t`` is stored; where it is derived
+    from a stored time, filter that one by ``times.stored_between`` first.
     """
     start = times.past_day_start(reference, days)
     end = start + times.DAY_MS - 1

@@ -189,10 +189,9 @@ def src_keyed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("src_versions")
 def src_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = views.readings(spark, sf_dir).select("id", "t", "seq", "v")
-    return keyed.versions(
-        cells, ["id"], "t", max_versions=3, min_stamp=DATA_START + DAY, max_stamp=NOW, tie="seq"
-    )
+    first, last = DATA_START + DAY, NOW
+    cells = views.readings(spark, sf_dir, F.lit(first), F.lit(last)).select("id", "t", "seq", "v")
+    return keyed.versions(cells, ["id"], "t", max_versions=3, min_stamp=first, max_stamp=last, tie="seq")
 
 
 # ---- sinks -----------------------------------------------------------------------------------
@@ -851,7 +850,8 @@ def month_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("past_day_report")
 def past_day_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     reference = F.lit(DATA_START + 10 * DAY + 5 * HOUR).cast("bigint")
-    rows = reports.past_day(views.readings(spark, sf_dir), reference, 3)
+    day = times.past_day_start(reference, 3)
+    rows = reports.past_day(views.readings(spark, sf_dir, day, day + DAY), reference, 3)
     since = times.millis_between(times.formatted(F.col("day_start")), times.formatted(F.col("t")))
     return rows.select(
         "seq", "t", "day_start", "day_noon", "day_end", "same_time", since.alias("ms_since_start")

@@ -5,10 +5,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.functions.times import ntz_millis
+from gaugeline.functions.times import ntz_millis, stored_between
 from gaugeline.operators.discriminators import RULES, Discriminator, renamed
 from gaugeline.operators.runs import annotate, judge
 from gaugeline.operators.slices import SLICE, first_arrivals, with_slice
@@ -52,8 +52,12 @@ def readings_of(events: DataFrame) -> DataFrame:
     )
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readings_of(table(spark, sf_dir, "events"))
+def readings(spark: SparkSession, sf_dir: str, start: Column | None = None, stop: Column | None = None) -> DataFrame:
+    """All readings, or those with ``start <= t < stop``, a range of the stored time."""
+    events = table(spark, sf_dir, "events")
+    if start is not None and stop is not None:
+        events = events.filter(stored_between(F.col("ts"), start, stop))
+    return readings_of(events)
 
 
 def rules(spark: SparkSession, new: bool = False) -> DataFrame:

@@ -91,3 +91,9 @@ def test_rules_and_versions_are_judged_in_one_pass(spark, name):
     dealt = [line for line in final.splitlines() if "Exchange hashpartitioning(id" in line and "REPARTITION_BY_COL" in line]
     assert len([line for line in dealt if "ReusedExchange" not in line]) == 1
     assert "FullOuter" not in final
+
+
+@pytest.mark.parametrize("name", ["past_day_report", "src_versions"])
+def test_time_ranges_reach_the_scan(spark, name):
+    text = plan(QUERIES[name](spark, SF_DIR))
+    assert "GreaterThanOrEqual(ts" in text and "LessThan(ts" in text
