@@ -24,11 +24,13 @@ from pyspark.sql import functions as F
 from gaugeline.llm.shingles import held
 
 BUCKETS = 1 << 15
-# Labelled rows a model is fitted on, about.
-SAMPLE = 6_000
+# Labelled texts of each language that a model is fitted on, about.
+SAMPLE = 2_000
 # Cost of a change of language, in nats.
 SWITCH = 8.0
 CHUNK = 128
+# Languages up to which a task works on parts of full size; beyond, parts shrink with the square of their number.
+FEW = 16
 # Characters of text that a task works on at a time (one text at least).
 SLICE = 500_000
 UNKNOWN = "und"
@@ -116,16 +118,24 @@ class Model:
         return np.where(self.allowed[words.script], sums, np.float32(-1e9))
 
 
+def sample_bounds(rows: dict[str, int], sample: int) -> dict[str, int]:
+    """For each language of so many rows the hash of 63 bits below which a text is chosen."""
+    return {lang: (2**63 - 1) * sample // max(n, sample, 1) for lang, n in rows.items()}
+
+
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model:
     """Model of the languages in column ``lang``; rows without text or language teach nothing.
 
-    About ``sample`` rows are used, chosen by a hash of their text; all of them if there are fewer.
+    Of each language about ``sample`` rows are used, chosen by a hash of their text, equal ones once; all if there are fewer.
+    So every labelled language is learned at any size of the table. An empty table gives a model of no languages.
     """
     rows = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
-    labelled = docs.filter(F.col(lang).isNotNull()).count()
-    share = min(1.0, sample / max(labelled, 1))
-    chosen = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < int(share * 1_000_003) + (share == 1.0)
-    rows = rows.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & chosen)
+    rows = rows.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
+    bounds = sample_bounds(dict(tuple(r) for r in rows.groupBy("lang").count().collect()), sample)
+    if not bounds:
+        return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros((len(SCRIPTS) + 1, 0), bool))
+    bound = F.create_map(*[F.lit(x) for pair in bounds.items() for x in pair])[F.col("lang")]
+    rows = rows.filter(F.shiftrightunsigned(F.xxhash64("text"), 1) <= bound).dropDuplicates(["lang", "text"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
@@ -169,20 +179,22 @@ def viterbi(scores: np.ndarray, text: np.ndarray, switch: float) -> np.ndarray:
         return np.zeros(0, np.int64)
     begins = np.flatnonzero(np.append(True, text[1:] != text[:-1]))
     sizes = np.diff(np.append(begins, words))
-    chunks = -(-sizes // CHUNK)
+    # With many states chunks grow as far as all texts fill them: transfers cost the square of the states for each.
+    width = CHUNK * int(np.clip(sizes.min() // CHUNK, 1, max(1, states * states // FEW**2)))
+    chunks = -(-sizes // width)
     first = np.concatenate([[0], np.cumsum(chunks)[:-1]])
     total = int(chunks.sum())
     # Words without scores fill the last chunk of a text; they change nothing.
     of = np.repeat(np.arange(len(begins)), sizes)
     place = np.arange(words) - begins[of]
-    cell = (first[of] + place // CHUNK) * CHUNK + place % CHUNK
-    padded = np.zeros((total * CHUNK, states), np.float64)
+    cell = (first[of] + place // width) * width + place % width
+    padded = np.zeros((total * width, states), np.float64)
     padded[cell] = scores
-    padded = padded.reshape(total, CHUNK, states)
+    padded = padded.reshape(total, width, states)
     # 1. What a chunk does to any state before it.
     transfer = np.full((total, states, states), -np.inf)
     transfer[:, range(states), range(states)] = 0
-    for t in range(CHUNK):
+    for t in range(width):
         transfer = np.maximum(transfer, transfer.max(2, keepdims=True) - switch) + padded[:, t, None, :]
     # 2. Best scores before each chunk, along the chunks of every text.
     entry = np.zeros((total, states))
@@ -191,9 +203,9 @@ def viterbi(scores: np.ndarray, text: np.ndarray, switch: float) -> np.ndarray:
         here = first[chunks > k + 1] + k
         entry[here + 1] = (entry[here][:, :, None] + transfer[here]).max(1)
     # 3. Where each state comes from.
-    back = np.empty((CHUNK, total, states), np.int8)
+    back = np.empty((width, total, states), np.int16)
     value, own = entry.copy(), np.arange(states)
-    for t in range(CHUNK):
+    for t in range(width):
         best = value.argmax(1)
         moved = np.take_along_axis(value, best[:, None], 1) - switch
         stay = value >= moved
@@ -201,7 +213,7 @@ def viterbi(scores: np.ndarray, text: np.ndarray, switch: float) -> np.ndarray:
         value = np.where(stay, value, moved) + padded[:, t, :]
     # 4. From the end: the state before a chunk for each state after it, then along the chunks, then within.
     origin = np.tile(own, (total, 1))
-    for t in range(CHUNK - 1, -1, -1):
+    for t in range(width - 1, -1, -1):
         origin = np.take_along_axis(back[t], origin, 1)
     after = np.empty(total, np.int64)
     last = first + chunks - 1
@@ -209,19 +221,19 @@ def viterbi(scores: np.ndarray, text: np.ndarray, switch: float) -> np.ndarray:
     for k in range(deep - 1, 0, -1):
         here = first[chunks > k] + k
         after[here - 1] = origin[here, after[here]]
-    path = np.empty((total, CHUNK), np.int64)
+    path = np.empty((total, width), np.int64)
     state, every = after, np.arange(total)
-    for t in range(CHUNK - 1, -1, -1):
+    for t in range(width - 1, -1, -1):
         path[:, t] = state
         state = back[t][every, state]
     return path.reshape(-1)[cell]
 
 
-def _slices(texts: list[str]) -> Iterator[list[str]]:
+def _slices(texts: list[str], states: int = 1) -> Iterator[list[str]]:
     held: list[str] = []
-    size = 0
+    size, most = 0, SLICE // max(1, states * states // FEW**2)
     for text in texts:
-        if held and size + len(text) > SLICE:
+        if held and size + len(text) > most:
             yield held
             held, size = [], 0
         held.append(text)
@@ -256,7 +268,9 @@ def label(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ..
     """``keep`` columns with ``lang_pred``, ``score`` and ``spans`` (start, end, lang; code points, end exclusive).
 
     ``score`` is the share of letters on the best path that are of ``lang_pred``. Null texts and texts without a letter are
-    ``und`` with score 0 and no span. Columns of ``docs`` other than these are not looked at.
+    ``und`` with score 0 and no span, and so are all texts where the model knows no language. Ties go to the language that
+    sorts first. Repeated rows are labelled each, an empty table gives no rows, and a very long text is held by one task with
+    some 100 bytes for each of its letters. Columns of ``docs`` other than these are not looked at.
     """
     kinds = {f.name: f.dataType.simpleString() for f in docs.select(*[F.col(f"`{c}`") for c in keep]).schema}
 
@@ -264,7 +278,7 @@ def label(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ..
         for batch in held(batches):
             at = 0
             texts = [t or "" for t in batch.column(0).to_pylist()]
-            for own in _slices(texts):
+            for own in _slices(texts, len(model.languages)):
                 names, share, spans = _label(own, model, switch)
                 kept = batch.slice(at, len(own))
                 at += len(own)

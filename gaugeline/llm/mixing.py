@@ -90,15 +90,15 @@ def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: s
     The row at which a source's budget ends is cut after its last word taken; a row of no words is taken as often as
     its source is begun.
     """
-    row, n = fresh(docs, "row_number"), fresh(docs, "copy_number")
+    row, n, whole_of, rest_of = (fresh(docs, name) for name in ("row_number", "copy_number", "whole_copies", "rest_words"))
     table = numbered(docs, row)
     taken = mix(table, doc_id, text, source, row=row, **how)
     begun = F.ceil(F.col("target") / F.greatest(F.col("source_size"), F.lit(1)))
     whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(F.greatest(begun, F.lit(1)))
     rest = F.when(F.col("size") > 0, F.col("taken") % F.col("size")).otherwise(0)
-    plan = taken.select(F.col("row").alias(row), whole.cast("int").alias("_whole_"), rest.alias("_rest_"))
-    copies = F.col("_whole_") + F.when(F.col("_rest_") > 0, 1).otherwise(0)
+    plan = taken.select(F.col("row").alias(row), whole.cast("int").alias(whole_of), rest.alias(rest_of))
+    copies = F.col(whole_of) + F.when(F.col(rest_of) > 0, 1).otherwise(0)
     out = table.join(plan, row).filter(copies > 0).withColumn(n, F.explode(F.sequence(F.lit(1), copies)))
-    kept = F.slice(F.regexp_extract_all(F.col(f"`{text}`"), F.lit(f"[{SPACE}]*[^{SPACE}]+"), 0), 1, F.col("_rest_").cast("int"))
-    cut = F.when(F.col(n) > F.col("_whole_"), F.array_join(kept, "")).otherwise(F.col(f"`{text}`"))
+    kept = F.slice(F.regexp_extract_all(F.col(f"`{text}`"), F.lit(f"[{SPACE}]*[^{SPACE}]+"), 0), 1, F.col(rest_of).cast("int"))
+    cut = F.when(F.col(n) > F.col(whole_of), F.array_join(kept, "")).otherwise(F.col(f"`{text}`"))
     return out.select(*[cut.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])

@@ -5,9 +5,10 @@ programming keeps the best score of each prefix and the number of pieces that gi
 the piece that begins first, as in the tokenizer, and a character that is no piece costs the lowest score less
 ten and gives a token per byte.
 
-No piece reaches over the border between a character and a following space, so texts fall apart into words there.
-Scores are whole numbers, whose sums are exact, so a word's count doesn't depend on what stands before it and is
-remembered by the task, in two generations of bounded size.
+Where no piece reaches over the border between a character and a following space, texts fall apart into words there. If also
+scores are whole numbers, whose sums are exact, a word's count doesn't depend on what stands before it and is
+remembered by the task, in two generations of bounded size. Other vocabularies, such as log probabilities of a trained
+one, are run over the whole text, in the tokenizer's own order of sums.
 """
 
 from __future__ import annotations
@@ -49,12 +50,9 @@ class Counter:
         self.automaton = ahocorasick.Automaton()
         scores: dict[str, float] = {}
         for piece, score in vocabulary:
-            if score != int(score):
-                raise ValueError("scores must be whole numbers: sums of others depend on what stands before a word")
             # Of equal pieces the last one counts.
             scores[piece] = score
-        if any(MARK in piece.lstrip(MARK) for piece in scores):
-            raise ValueError("a piece reaches over a space")
+        self.by_word = all(score == int(score) and MARK not in piece.lstrip(MARK) for piece, score in scores.items())
         for piece, score in scores.items():
             self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
@@ -105,6 +103,8 @@ class Counter:
     def __call__(self, text: str) -> int:
         if not text:
             return 0
+        if not self.by_word:
+            return self.pieces_of(MARK + text.replace(" ", MARK))
         words = text.split(" ")
         if not words[0] or UNCUT.search(text):
             words = _merged(words)
@@ -134,7 +134,9 @@ def token_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vo
     """``doc_id, n_tokens`` of each row's whole text; null and empty texts have none.
 
     Counts are those of the unigram model over the pieces and scores of ``vocabulary``, with a mark for each space
-    and before the text, and bytes for unknown characters. Repeated rows are counted each; extra columns are not looked at.
+    and before the text, and bytes for unknown characters. Repeated rows are counted each, an empty table gives no rows; extra
+    columns are not looked at. A very long text is held whole by one task; so are the best scores of its prefixes, unless the
+    vocabulary lets it fall apart into words.
     """
     path = vocabulary or default_vocabulary()
     kind = docs.select(F.col(doc_id)).schema[0].dataType.simpleString()

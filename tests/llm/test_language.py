@@ -37,6 +37,42 @@ def test_path_is_the_best_of_all(model):
             assert worth(path[text == t], own) == pytest.approx(best)
 
 
+@pytest.mark.parametrize("states", [40, 200])
+def test_path_of_many_languages(states):
+    """Against a plain Viterbi, over texts of very different lengths and a long one alone."""
+
+    def plain(own):
+        value, back = own[0].copy(), []
+        for row in own[1:]:
+            best = int(value.argmax())
+            stay = value >= value[best] - 3.0
+            back.append(np.where(stay, np.arange(states), best))
+            value = np.where(stay, value, value[best] - 3.0) + row
+        path = [int(value.argmax())]
+        for step in reversed(back):
+            path.append(int(step[path[-1]]))
+        return path[::-1]
+
+    rng = np.random.default_rng(states)
+    for sizes in ([1, 300, 20], [1500]):
+        text = np.repeat(np.arange(len(sizes)), sizes)
+        scores = rng.normal(0, 2, (len(text), states)).astype(np.float32)
+        scores[len(text) // 2 :, states - 1] += 2
+        path = language.viterbi(scores, text, 3.0)
+        for t in range(len(sizes)):
+            assert path[text == t].tolist() == plain(scores[text == t].astype(np.float64))
+        assert path.max() == states - 1 and path.min() >= 0
+
+
+def test_each_language_is_sampled_by_itself(spark):
+    bounds = language.sample_bounds({"huge": 10**10, "small": 1000, "none": 0}, 2000)
+    assert bounds["small"] == bounds["none"] == 2**63 - 1
+    assert bounds["huge"] / 2**63 * 10**10 == pytest.approx(2000)
+    rows = [(f"{EN} {i}", "en") for i in range(400)] + [(DE, "de")] * 3
+    small = language.fit(spark.createDataFrame(rows, "text string, lang string"), sample=40)
+    assert small.languages == ["de", "en"]
+
+
 def test_spans_of_mixed_text(spark, model):
     text = EN + DE + RU
     row = language.label(spark.createDataFrame([(1, text)], "doc_id int, text string"), model).first()

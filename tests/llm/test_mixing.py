@@ -62,3 +62,10 @@ def test_stage_gives_the_words(documents, nothing):
     assert {s: n for s, n in given.items() if n} == {s: n for s, n in want.items() if n}
     assert mixed(nothing).count() == 0
     assert mix(nothing).count() == 0
+
+
+def test_stage_takes_any_column_names(documents):
+    clashing = documents.selectExpr("*", "1 AS _whole_", "2 AS _rest_", "3 AS whole_copies", "4 AS rest_words", "5 AS copy_number")
+    out = mixed(clashing)
+    assert out.columns == clashing.columns
+    assert {tuple(r) for r in out.select("_whole_", "_rest_", "whole_copies", "rest_words", "copy_number").collect()} == {(1, 2, 3, 4, 5)}

@@ -39,6 +39,21 @@ def test_ties_and_forgotten_words(tokenizer, monkeypatch):
         assert full(text) == len(tokenizer.encode(text).ids)
 
 
-def test_scores_must_be_whole():
-    with pytest.raises(ValueError):
-        T.Counter([("<unk>", 0.0), ("a", -0.5)])
+def test_trained_vocabularies_run_over_the_whole_text():
+    """Log probabilities, and pieces that hold spaces inside."""
+    import random
+
+    from tokenizers import Tokenizer, models, normalizers
+
+    draw = random.Random(4)
+    pieces = {T.MARK, "a", "b", "c", T.MARK + "a", "a" + T.MARK + "b", "ab" + T.MARK}
+    pieces |= {"".join(draw.choice(f"abc{T.MARK}") for _ in range(draw.randint(2, 5))) for _ in range(60)}
+    scores = {p: -draw.random() * 9 - 0.1 for p in sorted(pieces)}
+    vocabulary = [("<unk>", 0.0), *scores.items(), *[(f"<0x{b:02X}>", -30.0) for b in range(256)]]
+    model = Tokenizer(models.Unigram(vocabulary, unk_id=0, byte_fallback=True))
+    model.normalizer = normalizers.Sequence([normalizers.Prepend(T.MARK), normalizers.Replace(" ", T.MARK)])
+    texts = ["".join(draw.choice("abc  é") for _ in range(draw.randint(0, 60))) for _ in range(300)] + ["ab " * 2000, None]
+    counter = T.Counter(vocabulary)
+    assert not counter.by_word and T.Counter(T.pieces(T.default_vocabulary())).by_word
+    want = [len(model.encode(t or "").ids) for t in texts]
+    assert [counter(t or "") for t in texts] == want
