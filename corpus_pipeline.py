@@ -21,9 +21,6 @@ from gaugeline.llm.packing import pack
 from gaugeline.llm.queries import held_out
 from gaugeline.session import drop_folder
 
-# Share of a document's letters that its language must have.
-MAIN_LANGUAGE = 0.5
-
 # Folders in the shared folder that stages read to make their results.
 LEFT: list[str] = []
 
@@ -51,13 +48,15 @@ def stage(build: Stage) -> Stage:
 
 @stage
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a main language stay; those without a letter or a language of half their letters go."""
+    """Documents in a language stay, those without a letter go. Without any labelled row no language is known, and all stay."""
     # Columns under numbers, so that none clashes with what the operator adds.
     plain = docs.toDF(*[f"c{n}" for n in range(len(docs.columns))])
     name = {c: f"c{n}" for n, c in enumerate(docs.columns)}
     model = language.fit(plain.filter(~held_out(name["doc_id"])), name["text"], name["lang"])
+    if not model.languages:
+        return docs
     labelled = language.label(plain, model, name["text"], keep=tuple(plain.columns))
-    good = labelled.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MAIN_LANGUAGE))
+    good = labelled.filter(F.col("lang_pred") != language.UNKNOWN)
     return good.select(*plain.columns).toDF(*docs.columns)
 
 

@@ -186,9 +186,9 @@ def test_shared_folder_has_a_shared_place():
             return dict.get(self, key, default)
 
     class Session:
-        def __init__(self, conf, own):
+        def __init__(self, conf, own, master="spark://m:7077"):
             self.conf = Conf(conf)
-            self.sparkContext = type("Context", (), {"getCheckpointDir": staticmethod(lambda: own)})
+            self.sparkContext = type("Context", (), {"getCheckpointDir": staticmethod(lambda: own), "master": master})
 
     place = {"spark.checkpoint.dir": "hdfs:/a", "spark.sql.warehouse.dir": "hdfs:/w"}
     assert session.shared_folder(Session(place, "hdfs:/b"), "n").startswith("hdfs:/a/n-")
@@ -197,3 +197,9 @@ def test_shared_folder_has_a_shared_place():
     assert session.shared_folder(Session(place, None), "n").startswith("hdfs:/w/n-")
     with pytest.raises(RuntimeError):
         session.shared_folder(Session({}, None), "n")
+    # The warehouse of a session that set none is a folder of the driver's machine.
+    unset = {"spark.sql.warehouse.dir": "file:/home/me/spark-warehouse"}
+    with pytest.raises(RuntimeError):
+        session.shared_folder(Session(unset, None), "n")
+    assert session.shared_folder(Session(unset, None, "local[8]"), "n").startswith("file:/home/me/spark-warehouse/n-")
+    assert session.shared_folder(Session(unset, "/shared"), "n").startswith("/shared/n-")
