@@ -232,8 +232,13 @@ class Scanner:
                 last = min(at[begin + high] + WORDS - 1, np.searchsorted(words.text, t, "right") - 1)
                 found.append((t, self.names[i], int(words.start[first]), int(words.end[last]), share, round(share * len(self.places[i]))))
         kept: list[tuple] = []
+        # A mark on each character of a text that a better match holds.
+        marks: dict[int, bytearray] = {}
         for m in sorted(found, key=lambda m: (m[0], -m[5], -m[4], m[2])):
-            if not any(k[0] == m[0] and k[2] < m[3] and m[2] < k[3] for k in reversed(kept)):
+            if m[0] not in marks:
+                marks = {m[0]: bytearray(len(texts[m[0]]))}
+            if marks[m[0]].find(1, m[2], m[3]) < 0:
+                marks[m[0]][m[2] : m[3]] = b"\1" * (m[3] - m[2])
                 kept.append(m)
         return [m[:5] for m in sorted(kept)]
 
@@ -248,7 +253,8 @@ def license_scan(
 
     ``contained`` is the share of a template's five-word shingles in the match, 0.8 at least; a template of fewer words is one
     shingle. Of overlapping matches the one that holds most of a template stays. Null and empty texts give no row, repeated
-    rows give theirs each; extra columns are not looked at. Without ``templates`` the notices and the whole licenses are.
+    rows give theirs each; an empty table gives none; extra columns are not looked at. A text of any length is scanned whole,
+    in time linear in its length and its matches. Without ``templates`` the notices and the whole licenses are.
     """
     kind = docs.select(F.col(doc_id)).schema[0].dataType.simpleString()
     templates = tuple(TEMPLATES + whole_texts() if templates is None else templates)

@@ -3,22 +3,27 @@
 The patterns (base spans) find e-mail addresses, IP addresses, card numbers and international phone numbers. The
 tagger, a bidirectional LSTM with CRF transitions over characters, is trained on text of the corpus whose base spans are
 labelled and on generated spans put into such text: addresses with ``[at]`` and ``(dot)``, cards with other
-separators, phones without a plus. Texts are cut into overlapping windows, each is decoded, and spans
+separators, phones without a plus. It reads digits of any script, full-width characters
+and other brackets as their plain forms. Texts are cut into overlapping windows, each is decoded, and spans
 of all windows are reconciled per text: spans cut off by a window's edge yield to the window that holds them
 whole, or are decoded again in one that does, however long; better ones go first, none may overlap another of its kind or any base span, and the digits or parts of each must make
 sense for its kind.
 
-A span holds a digit, an at sign or an opening bracket, so windows without any of these can't hold one and
-aren't decoded.
+A span holds a digit of any script, an at sign or an opening bracket, so windows without any of these can't hold one
+and aren't decoded. An address spelled in words alone (``jane at example dot org``) is none here.
+
+The work on a text grows with its length and the number of its spans, never with pairs of spans.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +41,12 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 # What an address goes on with, as far as it goes, on its left and on its right.
-DOT_BEFORE = re.compile(r"\s?[\[(]dot[\])]\s?\Z", re.I)
-HOST_MORE = re.compile(r"[A-Za-z0-9-]*+(?:(?:\.|\s?[\[(]dot[\])]\s?)[A-Za-z0-9-]++)*+", re.I)
-EVIDENCE = re.compile(r"[0-9@\[(]")
+DOT_BEFORE = re.compile(r"\s?[\[({<]dot[\])}>]\s?\Z", re.I)
+HOST_MORE = re.compile(r"[A-Za-z0-9-]*+(?:(?:\.|\s?[\[({<]dot[\])}>]\s?)[A-Za-z0-9-]++)*+", re.I)
+EVIDENCE = re.compile(r"[\d@\uFE6B\uFF08\uFF20\uFF3B\uFF5B\[({<]")
+# Ways to write an at sign and a dot in an added address.
+SPELLED_AT = re.compile(r"\s*[\[({<]at[\])}>]\s*|\s+@\s+", re.I)
+SPELLED_DOT = re.compile(r"\s*[\[({<]dot[\])}>]\s*", re.I)
 
 WINDOW, STRIDE = 128, 64
 HIDDEN = 16
@@ -97,15 +105,28 @@ TAGS = 1 + 2 * len(KINDS)
 SYMBOLS = 100
 
 
+@lru_cache(maxsize=1)
+def _plain_forms() -> dict[int, str]:
+    """ASCII digits for those of other scripts, ASCII for full-width characters, square brackets for curly and angle ones."""
+    forms = {c: chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)} | {0xFE6B: "@"}
+    forms |= {ord(c): plain for c, plain in zip("{<}>", "[[]]", strict=True)}
+    for c in range(128, 0x20000):
+        if unicodedata.category(chr(c)) == "Nd":
+            forms[c] = str(unicodedata.digit(chr(c)))
+    return forms
+
+
 @lru_cache(maxsize=1)
 def _symbols() -> np.ndarray:
-    """Symbol of each code point: printable ASCII its own, then letters, spaces and all others."""
+    """Symbol of each code point: printable ASCII its own, as has what stands for it, then letters, spaces and all others."""
     table = np.zeros(0x110000, np.int16)
     for c in range(len(table)):
         if c < 0x3000 and chr(c).isalpha():
             table[c] = 1
     table[[9, 10, 11, 12, 13, 0xA0]] = 2
     table[32:127] = np.arange(3, 98)
+    for c, plain in _plain_forms().items():
+        table[c] = table[ord(plain)]
     return table
 
 
@@ -190,14 +211,18 @@ def _examples(contexts: list[str], rng: np.random.Generator) -> tuple[np.ndarray
     return x, y
 
 
+def _bound(rows: int, sample: int) -> int:
+    """Hashes below this, of 62 bits, are those of some four samples of the texts: copies are not known yet."""
+    return min(1 << 62, -(-4 * sample * (1 << 62) // max(rows, 1)))
+
+
 def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE, steps: int = STEPS) -> Tagger:
-    """The tagger, trained on windows of about ``sample`` documents chosen by a hash of their text.
+    """The tagger, trained on ``2 * sample`` windows at most, of distinct texts chosen by a hash.
 
-    A document gives two windows: one around its first evidence of personal data, if any, and one from its middle.
+    A text gives two windows: one around its first evidence of personal data, if any, and one from its middle.
     """
     rows = docs.select(F.col(text).cast("string").alias("text")).filter(F.length("text") >= WINDOW // 2)
-    share = min(1.0, sample / max(docs.count(), 1))
-    rows = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < int(share * 1_000_003) + 1)
+    rows = rows.filter(F.shiftrightunsigned(F.xxhash64("text"), 2) < F.lit(_bound(docs.count(), sample)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -208,8 +233,9 @@ def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE, steps: int =
                 out += [text[s : s + WINDOW] for s in {max(0, seen.start() - WINDOW // 3) if seen else middle, middle}]
             yield pa.record_batch({"window": pa.array(out, pa.string())})
 
-    # Two windows a document of the sample: bounded. Sorted, so that reruns train alike.
-    windows = sorted(r["window"] for r in rows.mapInArrow(cut, "window string").collect())
+    # Copies give equal windows and fall together before they are shuffled. Sorted, so that reruns train alike.
+    distinct = rows.mapInArrow(cut, "window string").distinct()
+    windows = sorted(r["window"] for r in distinct.orderBy(F.xxhash64("window"), "window").limit(2 * sample).collect())
     rng = np.random.default_rng(SEED)
     windows = windows or ["the number is below and the rest follows " * 3]
     while len(windows) < 200:
@@ -233,9 +259,9 @@ class _Added:
 
 def _sensible(kind: int, text: str) -> bool:
     """Does the text of an added span make a value of its kind?"""
+    text = text.translate(_plain_forms())
     if kind == 0:
-        plain = re.sub(r"\s*[\[(]at[\])]\s*|\s+@\s+", "@", text, flags=re.I)
-        plain = re.sub(r"\s*[\[(]dot[\])]\s*", ".", plain, flags=re.I)
+        plain = SPELLED_DOT.sub(".", SPELLED_AT.sub("@", text))
         found = base_spans(plain)
         return (0, 0, len(plain)) in found
     if kind == 1:
@@ -310,12 +336,15 @@ def _whole_ones(texts: list[str], base: list[list[tuple[int, int, int]]], added:
     """Puts to ``added`` what edges of windows cut off, decoded again in windows that grow until they hold it."""
     cut: dict[int, list[tuple[int, int]]] = {}
     for n, own in added.items():
-        good = [(a.start, a.end) for a in own if a.whole and a.sure >= SURE and _sensible(a.kind, texts[n][a.start : a.end])]
+        good = sorted((a.start, a.end) for a in own if a.whole and a.sure >= SURE and _sensible(a.kind, texts[n][a.start : a.end]))
+        # How far the good ones reach that begin at or before each.
+        reached = list(accumulate((e for _, e in good), max))
         plain = _merged([(s, e) for _, s, e in base[n]])
         begins = [s for s, _ in plain]
         for a in own:
             at = bisect_right(begins, a.start) - 1
-            within = (at >= 0 and a.end <= plain[at][1]) or any(s <= a.start and a.end <= e for s, e in good)
+            held = bisect_right(good, (a.start, len(texts[n]))) - 1
+            within = (at >= 0 and a.end <= plain[at][1]) or (held >= 0 and a.end <= reached[held])
             if not a.whole and not within:
                 cut.setdefault(n, []).append((a.start, a.end))
     reach = STRIDE
@@ -358,12 +387,21 @@ def find(texts: list[str], model: Tagger) -> list[list[tuple[int, int, int, bool
     out = []
     for n, text in enumerate(texts):
         kept = [(k, s, e, True) for k, s, e in base[n]]
+        # Per kind a mark on each character that is taken; base spans take it for all kinds.
+        plain = bytearray(len(text) if n in added else 0)
+        for _, s, e in base[n] if n in added else ():
+            plain[s:e] = b"\1" * (e - s)
+        marks: dict[int, bytearray] = {}
         for a in sorted(added.get(n, []), key=lambda a: (not a.whole, not a.again, -a.sure, a.start, a.end, a.kind)):
             if a.kind == 0 and a.whole and a.sure >= SURE:
                 a.start, a.end = _full_address(text, a.start, a.end)
             if a.sure < SURE or not a.whole or not _sensible(a.kind, text[a.start : a.end]):
                 continue
-            if not any(s < a.end and a.start < e for k, s, e, plain in kept if plain or k == a.kind):
+            if a.kind not in marks:
+                marks[a.kind] = plain[:]
+            own = marks[a.kind]
+            if own.find(1, a.start, a.end) < 0:
+                own[a.start : a.end] = b"\1" * (a.end - a.start)
                 kept.append((a.kind, a.start, a.end, False))
         out.append(sorted(kept))
     return out
@@ -377,7 +415,8 @@ def personal_data(docs: DataFrame, model: Tagger, doc_id: str = "doc_id", text:
     """``doc_id, spans`` (kind, start, end, base; by kind and start; code points, end exclusive) of each row's whole text.
 
     ``base`` tells spans of the plain patterns from those the tagger added. Null and empty texts have none, repeated rows
-    are searched each; extra columns are not looked at.
+    are searched each; an empty table gives no row; extra columns are not looked at. A text of any length is one
+    unit of work, linear in its length.
     """
     kind = docs.select(F.col(doc_id)).schema[0].dataType.simpleString()
 

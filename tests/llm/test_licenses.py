@@ -1,4 +1,5 @@
 import re
+import time
 
 from gaugeline.llm.licenses import TEMPLATES, license_scan
 
@@ -59,3 +60,18 @@ def test_a_whole_license_repeats_its_words():
         (found,) = Scanner([("X", template)])([FILL + template + " " + FILL])
         assert found == (0, "X", len(FILL), len(FILL + template), 1.0)
     assert not Scanner([("X", apache)])([before + apache[: len(apache) * 7 // 10] + after]) and CONTAINED == 0.8
+
+
+def test_a_text_of_very_many_notices_takes_linear_time():
+    from gaugeline.llm.licenses import Scanner
+
+    notice = TEMPLATES[3][1]
+    part = notice + " " + FILL
+    scanner = Scanner([("X", notice)])
+    seconds = []
+    for copies in (2_000, 20_000):
+        begin = time.monotonic()
+        found = scanner([part * copies])
+        seconds.append(time.monotonic() - begin)
+        assert [f[2] for f in found] == list(range(0, len(part) * copies, len(part)))
+    assert seconds[1] < 25 * seconds[0] + 1

@@ -1,4 +1,5 @@
 import re
+import time
 
 import numpy as np
 import pytest
@@ -109,3 +110,63 @@ def test_gradient_is_the_slope():
         down, _ = model.gradient(x, y)
         weight[at] = old
         assert (up - down) / (2 * float(step)) == pytest.approx(float(grad[at]), abs=2e-3)
+
+
+def test_digits_of_other_scripts_and_full_width(model):
+    fill = "we write the words of this page here and go on as the page before it did "
+    arabic = str.maketrans("0123456789", "٠١٢٣٤٥٦٧٨٩")
+    cases = [(3, "+12 345 6789012".translate(arabic)), (1, "10.20.30.40".translate(arabic)), (0, "jane.miller＠example.org")]
+    for kind, put in cases:
+        text = fill + put + " " + fill
+        (found,) = personal.find([text], model)
+        assert (kind, len(fill), len(fill) + len(put), False) in found, (put, found)
+
+
+def test_addresses_in_other_brackets(model):
+    fill = "we write the words of this page here and go on as the page before it did "
+    names = "jane marco petra oliver anna tobias lucas helen nina robert".split()
+    hosts = "example university northwind harbour library".split()
+    for at, dot in ((" {at} ", "."), ("{at}", "{dot}"), (" [at] ", " {dot} "), (" <at> ", " <dot> ")):
+        texts, want = [], []
+        for name in names:
+            for host in hosts:
+                put = f"{name}{at}{host}{dot}org"
+                texts.append(fill + put + " " + fill)
+                want.append((0, len(fill), len(fill) + len(put), False))
+        hit = sum(w in found for w, found in zip(want, personal.find(texts, model), strict=True))
+        assert hit >= 0.9 * len(texts), (at, dot, hit)
+    for prose in (fill + "look at the page and the dot on it " + fill, fill + "meet us at example.org for more " + fill):
+        assert not any(not b for *_, b in personal.find([prose], model)[0]), prose
+
+
+def test_a_text_of_very_many_spans_takes_linear_time(monkeypatch):
+    text = "jane [at] example.org " * 100_000
+
+    def by_pattern(texts, model, windows, length):
+        for n, begin in windows:
+            part = texts[n][begin : begin + length]
+            yield [
+                personal._Added(0, begin + m.start(), begin + m.end(), 0.9, (m.start() > 0 or begin == 0) and (m.end() < len(part) or begin + length >= len(texts[n])))
+                for m in re.finditer(r"[a-z]+ \[at\] [a-z]+\.[a-z]+", part)
+            ]
+
+    monkeypatch.setattr(personal, "_decoded", by_pattern)
+    begin = time.monotonic()
+    (found,) = personal.find([text], None)
+    assert time.monotonic() - begin < 60
+    assert [f[1] for f in found][1:-1] == list(range(22, len(text) - 22, 22))
+
+
+def test_the_sample_is_bounded_at_any_size():
+    for rows in (0, 10, 10_000, 10**10, 10**13):
+        expected = rows * personal._bound(rows, 600) / 2**62
+        assert min(rows, 2400) <= expected + 1e-6 and expected <= 2401
+
+
+def test_copies_of_a_text_are_one_of_the_sample(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(personal, "_examples", lambda windows, rng: seen.append(windows) or (None, None))
+    monkeypatch.setattr(personal, "train", lambda *_: None)
+    rows = [(n, "the same text of a third of all rows, " * 5) for n in range(500)] + [(n, f"text {n} of its own " * 9) for n in range(500, 1500)]
+    personal.fit(spark.createDataFrame(rows, "doc_id int, text string"), sample=100)
+    assert len(seen[0]) == len(set(seen[0])) == 200
