@@ -152,16 +152,17 @@ def _long_address(rng: np.random.Generator) -> str:
     return name + at + dot.join([*host, pick("com", "org", "net", "edu", "de", "fr")])
 
 
-def _made(kind: int, rng: np.random.Generator) -> str:
-    """A generated span, plain or written otherwise."""
+def _made(kind: int, rng: np.random.Generator, words: list[str] | None = None) -> str:
+    """A generated span, plain or written otherwise; every other name and host is one of ``words``, if any."""
+    own = lambda: words[rng.integers(len(words))] if words and rng.integers(2) else _letters(rng, 3, 9)
     pick = lambda *options: options[rng.integers(len(options))]
     if kind == 0 and rng.integers(4) == 0:
         return _long_address(rng)
     if kind == 0:
         at = pick("@", "@", "[at]", "(at)", " [at] ", " (at) ", " @ ")
         dot = "." if at == "@" else pick(".", "[dot]", "(dot)", " [dot] ", " (dot) ")
-        name = _letters(rng, 3, 9) + pick("", "", "." + _letters(rng, 2, 7), "." + _digits(rng, 2), "_" + _letters(rng, 2, 5))
-        return name + at + _letters(rng, 3, 9) + pick("", _digits(rng, 1)) + dot + pick("com", "org", "net", "example" + dot + "com", "de", "fr")
+        name = own() + pick("", "", "." + _letters(rng, 2, 7), "." + _digits(rng, 2), "_" + _letters(rng, 2, 5))
+        return name + at + own() + pick("", _digits(rng, 1)) + dot + pick("com", "org", "net", "example" + dot + "com", "de", "fr")
     if kind == 1:
         return pick(".", ".", "[.]", "(.)", " . ").join(str(n) for n in rng.integers(1, 256, 4))
     if kind == 2:
@@ -186,6 +187,7 @@ def _plain_number(rng: np.random.Generator) -> str:
 def _examples(contexts: list[str], rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
     """Windows of symbols and their tags: each context with what it holds, and twice with something put in."""
     table = _symbols()
+    words = re.findall(r"[a-z]{3,12}", " ".join(contexts))
     x = np.full((3 * len(contexts), WINDOW), table[32], np.int16)
     y = np.zeros((3 * len(contexts), WINDOW), np.int64)
     for n in range(3 * len(contexts)):
@@ -195,7 +197,7 @@ def _examples(contexts: list[str], rng: np.random.Generator) -> tuple[np.ndarray
             cut = [m.end() for m in re.finditer(r"\s", text[: WINDOW // 2])] or [0]
             at = cut[rng.integers(len(cut))]
             kind = int(rng.integers(0, 6))
-            put = _made(kind, rng) if kind < 4 else _plain_number(rng)
+            put = _made(kind, rng, words) if kind < 4 else _plain_number(rng)
             text = text[:at] + put + ("", ".", ",")[rng.integers(3)] + " " + text[at:]
             own = [(kind, at, at + len(put))] if kind < 4 else []
             # Of what windows can cut off, any part.
