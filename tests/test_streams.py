@@ -139,6 +139,23 @@ def test_once_per_batch(spark, tmp_path):
     assert written == [0, 1]
 
 
+def test_the_ledger_stays_small(spark, tmp_path):
+    written = []
+    ledger = tmp_path / "ledger"
+    # An entry of a ledger that grew with its batches counts as well.
+    spark.range(1).selectExpr("3L AS batch_id").write.parquet(str(ledger))
+    for batch in (2, 3, 4, 5, 5, 6, 7, 7, 8):
+        once_per_batch(lambda d, n: written.append(n), str(ledger))(spark.range(1), batch)
+    assert written == [4, 5, 6, 7, 8]
+    assert sorted(p.name for p in ledger.iterdir() if p.is_dir()) == ["slot-0", "slot-1"]
+    # A failure while a slot was replaced: the other one names the batch before, which is not repeated.
+    for file in (ledger / "slot-0").iterdir():
+        file.unlink()
+    for batch in (7, 8):
+        once_per_batch(lambda d, n: written.append(n), str(ledger))(spark.range(1), batch)
+    assert written == [4, 5, 6, 7, 8, 8]
+
+
 def test_dispatch(spark, tmp_path):
     inbox = tmp_path / "in"
     drop_message(inbox, 1, ("a", 1704067200000, 1))
