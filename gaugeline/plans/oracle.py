@@ -380,3 +380,6 @@ ORACLE: dict[str, str] = {
   CAST(user_id AS VARCHAR) || '}}' AS nested, '{"id":' || CAST(event_id AS VARCHAR) || '}' AS flat FROM events""",
 }
 ORACLE["sink_dispatch"] = ORACLE["sink_keyed_json"]
+
+# A merge changes folders, not rows.
+ORACLE["sink_keyed_merged"] = ORACLE["sink_keyed_table"]

@@ -202,14 +202,28 @@ def sink_keyed_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed_json(views.readings(spark, sf_dir))
 
 
-@query("sink_keyed_table")
-def sink_keyed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Averages first, last values put over them."""
+def _averages_then_last(spark: SparkSession, sf_dir: str) -> str:
+    """A keyed table of two batches: averages first, last values put over them."""
     path = shared_folder(spark, "keyed")
     bound = views.bound(spark, sf_dir)
     keyed_table.put(keyed_table.with_row_key(aggregates.window_avg(bound, "1 day"), REGIONS), path, 0)
     last = aggregates.window_last(bound.filter("v >= 20"), "1 day", **TIE)
     keyed_table.put(keyed_table.with_row_key(last, REGIONS), path, 1)
+    return path
+
+
+@query("sink_keyed_table")
+def sink_keyed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Averages first, last values put over them."""
+    table = keyed_table.read(spark, _averages_then_last(spark, sf_dir))
+    return table.select("salt", "row_key", "uri", F.round("v", 9).alias("v"), "t")
+
+
+@query("sink_keyed_merged")
+def sink_keyed_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table after its two folders were merged."""
+    path = _averages_then_last(spark, sf_dir)
+    keyed_table.merge(spark, path, 1, fan=2)
     table = keyed_table.read(spark, path)
     return table.select("salt", "row_key", "uri", F.round("v", 9).alias("v"), "t")
 
