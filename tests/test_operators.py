@@ -37,6 +37,35 @@ def test_moving_average_of_any_window(spark, window):
     assert [m for _, m in sorted(got)] == pytest.approx([m for _, m in expected])
 
 
+@pytest.mark.parametrize("part_ms", [1, 10, 64, 997])
+@pytest.mark.parametrize("window", [7, 60, 640, 5000])
+def test_moving_average_in_parts(spark, window, part_ms):
+    """Blocks cut into parts, also where the part does not divide the window, give what whole blocks give."""
+    times = sorted({t * t % 997 - 300 for t in range(150)})
+    df = series(spark, [(p, t, float(t % 13)) for p in ("p", "q") for t in times if p == "p" or t % 3])
+    whole, cut = (rows(moving_avg(df, window, part_ms=ms), "id", "t", "moving_avg") for ms in (10_000, part_ms))
+    assert [r[:2] for r in cut] == [r[:2] for r in whole]
+    assert [r[2] for r in cut] == pytest.approx([r[2] for r in whole])
+
+
+def test_long_window_of_one_point_is_dealt_to_many_tasks(spark):
+    """A month over one point: no task holds a window."""
+    month, step = 30 * 86_400_000, 600_000
+    df = spark.range(0, 8640).selectExpr("'p' AS id", f"id * {step} AS t", "CAST(id % 7 AS DOUBLE) AS v")
+    averaged = moving_avg(df.repartition(1), month)
+    got = {r.t: r.moving_avg for r in averaged.collect()}
+    values = [n % 7 for n in range(8640)]
+    for n in (0, 1, 4319, 4320, 4321, 8639):
+        inside = values[max(0, n - month // step) : n + 1]
+        assert got[n * step] == pytest.approx(sum(inside) / len(inside))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        dealt = [r.n for r in moving_avg(df, month).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(dealt) == 4 and max(dealt) < 8640 / 2
+
+
 def test_window_borders(spark):
     df = series(spark, [("p", 1704067259999, 1), ("p", 1704067260000, 2)])
     assert rows(aggregates.window_last(df), "v", "t") == [(1.0, 1704067260000), (2.0, 1704067320000)]
