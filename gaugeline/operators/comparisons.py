@@ -38,10 +38,14 @@ def split_ratio(compared: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def previous_reading(
-    series: DataFrame, key: Sequence[str] = ("id",), later: bool = False, slice_ms: int = DAY_MS
+    series: DataFrame,
+    key: Sequence[str] = ("id",),
+    later: bool = False,
+    slice_ms: int = DAY_MS,
+    cuts: DataFrame | None = None,
 ) -> DataFrame:
     """Nearest earlier reading, ``(0, 0)`` for the first; the later side only if asked for."""
-    out = with_neighbours(series, key, slice_ms=slice_ms)
+    out = with_neighbours(series, key, slice_ms=slice_ms, cuts=cuts)
     zero_t, zero_v = F.lit(0).cast("bigint"), F.lit(0.0)
     after_t, after_v = zero_t, zero_v
     if later:
@@ -56,14 +60,16 @@ def previous_reading(
     )
 
 
-def neighbour_diff(series: DataFrame, key: Sequence[str] = ("id",), slice_ms: int = DAY_MS) -> DataFrame:
+def neighbour_diff(
+    series: DataFrame, key: Sequence[str] = ("id",), slice_ms: int = DAY_MS, cuts: DataFrame | None = None
+) -> DataFrame:
     """Change toward the later and from the earlier reading, a row per side that exists."""
     sides = F.array(
         F.struct(F.lit("later").alias("side"), (F.col("after")["v"] - F.col("v")).alias("diff")),
         F.struct(F.lit("earlier").alias("side"), (F.col("v") - F.col("before")["v"]).alias("diff")),
     )
     return (
-        with_neighbours(series, key, slice_ms=slice_ms)
+        with_neighbours(series, key, slice_ms=slice_ms, cuts=cuts)
         .select(*series.columns, F.inline(sides))
         .filter("diff IS NOT NULL")
     )
@@ -75,7 +81,8 @@ def lag_windowed(
     order: str = "window_start",
     value: str = "last_v",
     slice_ms: int = DAY_MS,
+    cuts: DataFrame | None = None,
 ) -> DataFrame:
     """Adds ``previous_<value>``, the value of the point's window before."""
-    out = with_neighbours(windows, key, order, [value], slice_ms)
+    out = with_neighbours(windows, key, order, [value], slice_ms, cuts)
     return out.select(*windows.columns, F.col("before")[value].alias(f"previous_{value}"))

@@ -35,12 +35,14 @@ def judge(
     carry: Sequence[str] = ("uri",),
     slice_ms: int = DAY_MS,
     seeded: bool = False,
+    cuts: DataFrame | None = None,
 ) -> DataFrame:
     """Judge a series that is unique on ``(key, t)``, where ``key`` is never NULL, by several rules at once.
 
     Needs ``t``, ``v`` and the rules' parameter columns; ``carry`` columns stay. Adds ``previous_value``, ``next_time`` and for
     rule number i ``abnormal_i``, ``start_i`` (the beginning of the run, on its rows) and ``is_last_i``. With ``seeded``, a
     non-NULL ``seed`` on the first reading of a point states its judgement instead of the rules (see ``streaming.incremental``).
+    ``cuts`` are those of dense slices (see ``slices.dense_cuts``).
     """
     # One struct per reading: both uses of the shuffled rows then read the same columns, so Spark
     # shuffles them once (ReusedExchange).
@@ -60,7 +62,8 @@ def judge(
         return F.coalesce(reading["v"].isNotNull() & verdict, F.lit(False))
 
     # Inside a slice. The first row is not judged here: it looks beyond the border.
-    placed = with_slice(present.select(*key, "t", F.struct(*read).alias("r")), "t", slice_ms).repartition(*part)
+    narrow = present.select(*key, "t", F.struct(*read).alias("r"))
+    placed = with_slice(narrow, "t", slice_ms, cuts, key).repartition(*part)
     rows = placed.withColumns(
         {"n": F.row_number().over(in_slice), "r1": F.lag("r").over(in_slice), "next_t": F.lead("t").over(in_slice)}
     ).withColumns({f"flag_{i}": F.when(c("n") > 1, judged(i, c("r"), c("r1"))) for i in numbers})
@@ -139,10 +142,11 @@ def annotate(
     carry: Sequence[str] = ("uri",),
     slice_ms: int = DAY_MS,
     seeded: bool = False,
+    cuts: DataFrame | None = None,
 ) -> DataFrame:
     """``judge`` by one rule. Adds ``previous_value``, ``abnormal``, ``exception_start_time`` (on every row of a run),
     ``is_last``, ``exception_end_time`` (on the last row of a closed run) and ``next_time``."""
-    return verdict(judge(series, [rule], key, carry, slice_ms, seeded), 0)
+    return verdict(judge(series, [rule], key, carry, slice_ms, seeded, cuts), 0)
 
 
 def verdict(judged: DataFrame, number: int) -> DataFrame:

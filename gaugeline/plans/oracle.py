@@ -179,6 +179,10 @@ _MONTH = f"month({_TS})"
 _LIMITS = "limits AS (SELECT * FROM (VALUES ('ns0', 100, 5)) AS l(namespace, upper_bound, lower_bound))"
 _MOVING = f"""SELECT id, uri, t, v, round(avg(v) OVER (PARTITION BY id ORDER BY t
   RANGE BETWEEN {6 * HOUR} PRECEDING AND CURRENT ROW), 9) AS moving_avg FROM firsts"""
+_DIFF = f"""{_BASE}, {_UNIQUE}, n AS (SELECT *, lag(v) OVER w AS b, lead(v) OVER w AS a
+  FROM firsts WINDOW w AS (PARTITION BY id ORDER BY t))
+ SELECT id, uri, t, v, 'later' AS side, round(a - v, 6) AS diff FROM n WHERE a IS NOT NULL UNION ALL
+ SELECT id, uri, t, v, 'earlier' AS side, round(v - b, 6) AS diff FROM n WHERE b IS NOT NULL"""
 
 
 def _dec(column: str) -> str:
@@ -290,11 +294,11 @@ ORACLE: dict[str, str] = {
     "previous_reading": f"""{_BASE}, {_UNIQUE} SELECT id, uri, t, v, COALESCE(lag(t) OVER w, 0) AS previous_t,
   COALESCE(lag(v) OVER w, 0.0::DOUBLE) AS previous_v, CAST(0 AS BIGINT) AS next_t, 0.0::DOUBLE AS next_v
  FROM firsts WINDOW w AS (PARTITION BY id ORDER BY t)""",
-    "neighbour_diff": f"""{_BASE}, {_UNIQUE}, n AS (SELECT *, lag(v) OVER w AS b, lead(v) OVER w AS a
-  FROM firsts WINDOW w AS (PARTITION BY id ORDER BY t))
- SELECT id, uri, t, v, 'later' AS side, round(a - v, 6) AS diff FROM n WHERE a IS NOT NULL UNION ALL
- SELECT id, uri, t, v, 'earlier' AS side, round(v - b, 6) AS diff FROM n WHERE b IS NOT NULL""",
+    "neighbour_diff": _DIFF,
+    "neighbour_diff_dense": _DIFF,
     "moving_avg": f"{_BASE}, {_UNIQUE} {_MOVING}",
+    "moving_sum_week": f"""{_BASE}, {_UNIQUE} SELECT id, uri, t, v, round(sum(v) OVER w, 4) AS sum_v, count(*) OVER w AS n
+ FROM firsts WINDOW w AS (PARTITION BY id ORDER BY t RANGE BETWEEN {7 * DAY} PRECEDING AND CURRENT ROW)""",
     "abnormal_runs": f"WITH {_READINGS}, {_rules('rules')}, "
     + ", ".join(_judged(name, f"j_{name}") for name in _FLAGS)
     + " SELECT node_uri, last_abnormal_time, abnormal_type, abnormal_start_time,"
@@ -304,6 +308,7 @@ ORACLE: dict[str, str] = {
     **{f"disc_{name}": _annotated(name) for name in _FLAGS},
     **{f"abnormal_points_{name}": _points(name) for name in _FLAGS},
     **{f"abnormal_ranges_{name}": _ranges(name) for name in _FLAGS},
+    "abnormal_ranges_dense": _ranges("limit"),
     "disc_cumulative_inorder": _ranges("cumulative"),
     "disc_amplitude_inorder": _ranges("amplitude"),
     "disc_limit_passthrough": f"{_BASE}, {_UNIQUE} SELECT id, uri, t, v FROM firsts",

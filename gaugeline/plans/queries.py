@@ -13,9 +13,16 @@ from gaugeline.functions import decimals, json_fields, keys, times, values
 from gaugeline.operators import aggregates, comparisons, reports
 from gaugeline.operators.changes import RANGE_KEY, apply_changes, change_log
 from gaugeline.operators.discriminators import RULES
-from gaugeline.operators.moving import moving_avg
-from gaugeline.operators.runs import abnormal_points, abnormal_ranges, all_ranges, sorted_passthrough, version_changes
-from gaugeline.operators.slices import first_arrivals
+from gaugeline.operators.moving import moving_avg, moving_sums
+from gaugeline.operators.runs import (
+    abnormal_points,
+    abnormal_ranges,
+    all_ranges,
+    annotate,
+    sorted_passthrough,
+    version_changes,
+)
+from gaugeline.operators.slices import dense_cuts, first_arrivals
 from gaugeline.plans import views
 from gaugeline.session import shared_folder
 from gaugeline.sinks import keyed_table
@@ -535,6 +542,34 @@ def moving_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("moving_avg", F.round("moving_avg", 9))
 
 
+@query("moving_sum_week")
+def moving_sum_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and sum of a week's readings: blocks of a week in parts of a day."""
+    out = moving_sums(_unique(spark, sf_dir), 7 * DAY, {"sum_v": F.col("v"), "n": F.lit(1).cast("bigint")})
+    return out.withColumn("sum_v", F.round("sum_v", 4))
+
+
+# Slices of a whole month, cut wherever one has more readings than this: the test tables are sparse.
+DENSE = {"slice_ms": 30 * DAY, "cell_ms": HOUR, "most": 100}
+
+
+@query("neighbour_diff_dense")
+def neighbour_diff_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``neighbour_diff`` over slices that are cut by the density of a point."""
+    series = _unique(spark, sf_dir)
+    out = comparisons.neighbour_diff(series, slice_ms=DENSE["slice_ms"], cuts=dense_cuts(series, **DENSE))
+    return out.withColumn("diff", F.round("diff", 6))
+
+
+@query("abnormal_ranges_dense")
+def abnormal_ranges_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``abnormal_ranges_limit`` over slices that are cut by the density of a point."""
+    rule = RULES["limit"]
+    series = views.series(views.bound(spark, sf_dir), rule)
+    judged = annotate(series, rule, slice_ms=DENSE["slice_ms"], cuts=dense_cuts(series, **DENSE))
+    return abnormal_ranges(judged, rule)
+
+
 @query("abnormal_runs")
 def abnormal_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of all four rules together, as rows of the range table (0 = open)."""
