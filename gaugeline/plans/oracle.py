@@ -243,6 +243,11 @@ ORACLE: dict[str, str] = {
  SELECT split_part(id, '/', 3) AS name, COUNT(*) AS n, 'normal' AS output FROM j WHERE NOT flag GROUP BY 1
  UNION ALL SELECT uri, COUNT(*), 'points' FROM j WHERE flag GROUP BY uri
  UNION ALL SELECT uri, COUNT(*), 'ranges' FROM j WHERE is_last GROUP BY uri""",
+    "sink_abnormal_rows": f"""WITH {_READINGS}, {_rules('rules')}, {_judged('limit')}
+ SELECT split_part(id, '/', 3) || '/' || split_part(id, '/', 2) AS name, t, CAST(0 AS BIGINT) AS start,
+  CAST(0 AS BIGINT) AS stop, 'normal' AS output FROM j WHERE NOT flag
+ UNION ALL SELECT uri, t, 0, 0, 'points' FROM j WHERE flag
+ UNION ALL SELECT uri, t, run_start, COALESCE(nxt, 0), 'ranges' FROM j WHERE is_last""",
     "decode_value": f"""WITH {_READINGS} SELECT seq, CASE WHEN raw_v = 'B#true' THEN 1.0::DOUBLE
   WHEN raw_v LIKE 'B#%' THEN 0.0::DOUBLE WHEN raw_v LIKE 'F#%' THEN v END AS value FROM readings""",
     "drop_string_values": f"WITH {_READINGS} SELECT seq, raw_v FROM readings WHERE raw_v NOT LIKE '%S#%'",
@@ -317,6 +322,7 @@ ORACLE: dict[str, str] = {
     "change_log_tables": _CHANGES,
     "apply_changes": f"WITH {_READINGS}, {_rules('rules', True)}, {_judged('limit')} {_range_rows('limit')}",
     "stateful_disc_limit": _ranges("limit"),
+    "stateful_snapshot": _ranges("limit"),
     "stateful_disc_switch": _ranges("switch"),
     "stateful_disc_cumulative": _points("cumulative"),
     "stateful_disc_amplitude": _ranges("amplitude"),

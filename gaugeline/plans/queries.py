@@ -319,6 +319,40 @@ def sink_abnormal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query("sink_abnormal_rows")
+def sink_abnormal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of messages fanned out to the normal topic and the two abnormal tables; the rows of each."""
+    path = shared_folder(spark, "fan-out")
+
+    def normal(rows: DataFrame, batch_id: int) -> None:
+        out = keyed_json(rows.withColumn("s", F.lit("good")))
+        out.write.mode("overwrite").parquet(f"{path}/normal/batch_id={batch_id}")
+
+    runs = IncrementalRuns(
+        RULES["limit"],
+        f"{path}/runs",
+        DAY,
+        carry=("uri", "gateway_id", "namespace", "point_id"),
+        on_normal=normal,
+        buckets=POINT_BUCKETS,
+    )
+    messages = _arriving(spark, sf_dir, f"{path}/inbox", F.col("t"))
+    jobs.discriminate(messages, views.rules, runs, f"{path}/checkpoint", drain=True).awaitTermination()
+    sent = spark.read.parquet(f"{path}/normal").select("key", F.from_json("value", "gatewayId STRING, t BIGINT").alias("m"))
+    none = F.lit(0).cast("bigint")
+    parts = [
+        sent.select(F.concat_ws("/", "key", "m.gatewayId").alias("name"), F.col("m.t").alias("t"), none.alias("start"),
+                    none.alias("stop"), F.lit("normal").alias("output")),
+        runs.table(spark, "points").select(F.col("node_uri").alias("name"), F.col("time").alias("t"), none.alias("start"),
+                                           none.alias("stop"), F.lit("points").alias("output")),
+        runs.table(spark, "ranges").select(
+            F.col("node_uri").alias("name"), F.col("last_abnormal_time").alias("t"),
+            F.col("abnormal_start_time").alias("start"), F.coalesce("abnormal_end_time", none).alias("stop"),
+            F.lit("ranges").alias("output")),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 # ---- projections, filters, scalar logic ------------------------------------------------------
 
 
@@ -710,6 +744,22 @@ query("stateful_disc_cumulative")(_stateful("cumulative", "points"))
 query("stateful_disc_amplitude")(_stateful("amplitude", "ranges"))
 
 
+@query("stateful_snapshot")
+def stateful_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``stateful_disc_limit`` read from a snapshot, stored while the stream runs, and the changes after it."""
+    path = shared_folder(spark, "runs")
+
+    def fold(points: DataFrame, ranges: DataFrame, batch_id: int) -> None:
+        # This batch has not ended: the snapshot holds those before it.
+        if batch_id == 2:
+            runs.snapshot(spark)
+
+    runs = IncrementalRuns(RULES["limit"], f"{path}/runs", DAY, buckets=POINT_BUCKETS, on_changes=fold)
+    messages = _arriving(spark, sf_dir, f"{path}/inbox", _late_arrival())
+    jobs.discriminate(messages, views.rules, runs, f"{path}/checkpoint", drain=True).awaitTermination()
+    return runs.table(spark, "ranges")
+
+
 @query("stateful_moving_avg")
 def stateful_moving_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "moving")

@@ -16,7 +16,8 @@ therefore the same as over the whole history. Buckets whose points are all silen
 that went out a whole delay ago.
 
 Batch N reads the state of N-1 and replaces only its own folders, so repeating a batch after a failure
-leaves the same files. Folders lie in the shared folder of the cluster and are the only memory.
+leaves the same files. The manifest of the tail is written last and makes all outputs of the batch valid at once; tables
+are read up to it. ``snapshot`` stores the tables as they are, so that reading them does not replay all history. Folders lie in the shared folder of the cluster and are the only memory.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from gaugeline.operators.discriminators import Discriminator
 from gaugeline.operators.moving import moving_avg
 from gaugeline.operators.runs import NORMAL_SEED, annotate
 from gaugeline.operators.slices import first_arrivals
-from gaugeline.streaming.state import BUCKET, BucketedState, Manifest, output
+from gaugeline.streaming.state import BUCKET, BucketedState, Journal, Manifest, output
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -191,12 +192,25 @@ class IncrementalRuns(_Incremental):
         was = F.struct(*self.JUDGED).alias("was")
         return annotated.filter(keep).select("id", *self.columns, seed.alias("seed"), was, following.alias("due"))
 
+    TABLES = {"points": POINT_KEY, "ranges": RANGE_KEY}
+
     def table(self, spark: SparkSession, kind: str) -> DataFrame:
-        """The ``points`` or ``ranges`` table as of the last batch: all changes so far, replayed."""
-        key = {"points": POINT_KEY, "ranges": RANGE_KEY}[kind]
-        log = spark.read.parquet(f"{self.root}/{kind}")
-        base = log.drop("op", "batch_id").filter(F.lit(False))
-        return apply_changes(base, log, key)
+        """The ``points`` or ``ranges`` table as of the last batch that ended: the snapshot and all changes since, replayed."""
+        return self._table(spark, kind, Journal(self.tail, kind).committed(spark))
+
+    def _table(self, spark: SparkSession, kind: str, upto: int) -> DataFrame:
+        base, log = Journal(self.tail, kind).read(spark, upto)
+        if base is None:
+            base = log.drop("op", "batch_id").filter(F.lit(False))
+        return apply_changes(base, log, self.TABLES[kind])
+
+    def snapshot(self, spark: SparkSession) -> None:
+        """Store both tables as of the last batch that ended; called by the owner of the stream now and then."""
+        for kind in self.TABLES:
+            journal = Journal(self.tail, kind)
+            upto = journal.committed(spark)
+            if upto >= 0:
+                journal.fold(self._table(spark, kind, upto), upto)
 
 
 class IncrementalMovingAvg(_Incremental):
@@ -244,8 +258,20 @@ class IncrementalMovingAvg(_Incremental):
         averaged.unpersist()
 
     def table(self, spark: SparkSession) -> DataFrame:
-        """The average of every reading as of the last batch."""
-        rows = spark.read.parquet(f"{self.root}/averages")
+        """The average of every reading as of the last batch that ended."""
+        return self._table(spark, Journal(self.tail, "averages").committed(spark))
+
+    def _table(self, spark: SparkSession, upto: int) -> DataFrame:
+        base, rows = Journal(self.tail, "averages").read(spark, upto)
+        if base is not None:
+            rows = base.withColumn("batch_id", F.lit(-1)).unionByName(rows)
         values = [c for c in rows.columns if c not in ("id", "t", "batch_id")]
         newest = F.max_by(F.struct(*values), "batch_id").alias("newest")
         return rows.groupBy("id", "t").agg(newest).select("id", "t", "newest.*")
+
+    def snapshot(self, spark: SparkSession) -> None:
+        """Store the table as of the last batch that ended; called by the owner of the stream now and then."""
+        journal = Journal(self.tail, "averages")
+        upto = journal.committed(spark)
+        if upto >= 0:
+            journal.fold(self._table(spark, upto), upto)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.functions.times import floor_to
-from gaugeline.streaming.state import BUCKET, BucketedState, output
+from gaugeline.streaming.state import BUCKET, BucketedState, Journal, output
 
 
 class RunningWindows:
@@ -99,7 +99,19 @@ class RunningWindows:
         return self.open.newest(spark)
 
     def table(self, spark: SparkSession) -> DataFrame:
-        """Every window as of the last batch."""
-        rows = spark.read.parquet(f"{self.root}/windows")
+        """Every window as of the last batch that ended."""
+        return self._table(spark, Journal(self.open, "windows").committed(spark))
+
+    def _table(self, spark: SparkSession, upto: int) -> DataFrame:
+        base, rows = Journal(self.open, "windows").read(spark, upto)
+        if base is not None:
+            rows = base.withColumn("batch_id", F.lit(-1)).unionByName(rows)
         values = ("sum_v", "n", "avg_v", "last_v", "closed")
         return rows.groupBy("id", "window_start").agg(*[F.max_by(c, "batch_id").alias(c) for c in values])
+
+    def snapshot(self, spark: SparkSession) -> None:
+        """Store the table as of the last batch that ended; called by the owner of the stream now and then."""
+        journal = Journal(self.open, "windows")
+        upto = journal.committed(spark)
+        if upto >= 0:
+            journal.fold(self._table(spark, upto), upto)

@@ -62,11 +62,13 @@ class BucketedState:
         return base if bucket is None else f"{base}/{BUCKET}={bucket}"
 
     def _stored(self, spark: SparkSession, batch_id: int) -> Manifest | None:
-        path = spark._jvm.org.apache.hadoop.fs.Path(self._manifest(batch_id))
-        if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-            return None
-        row = spark.read.schema("manifest STRING").parquet(self._manifest(batch_id)).first()
-        return Manifest.of(row["manifest"]) if row is not None else None
+        text = read_note(spark, self._manifest(batch_id))
+        return None if text is None else Manifest.of(text)
+
+    def last(self, spark: SparkSession) -> Manifest | None:
+        """The manifest of the last batch that ended."""
+        found = [m for m in (self._stored(spark, slot) for slot in (0, 1)) if m is not None]
+        return max(found, key=lambda m: m.batch_id, default=None)
 
     def load(self, spark: SparkSession, batch_id: int) -> Manifest:
         """What the batch before ``batch_id`` left.
@@ -94,8 +96,8 @@ class BucketedState:
 
     def newest(self, spark: SparkSession) -> DataFrame | None:
         """The whole table as of the last batch."""
-        found = [m for m in (self._stored(spark, slot) for slot in (0, 1)) if m is not None]
-        return self.rows(spark, max(found, key=lambda m: m.batch_id)) if found else None
+        found = self.last(spark)
+        return None if found is None else self.rows(spark, found)
 
     def save(
         self, rows: DataFrame, before: Manifest, batch_id: int, latest: int | None, touched: Iterable[int], due: dict[int, int | None]
@@ -113,8 +115,7 @@ class BucketedState:
             {b: n for b, n in before.places.items() if b not in gone} | dict.fromkeys(due, batch_id),
             {b: t for b, t in before.due.items() if b not in gone} | {b: t for b, t in due.items() if t is not None},
         )
-        mark = spark.range(1, numPartitions=1).select(F.lit(after.to_json()).alias("manifest"))
-        mark.write.mode("overwrite").parquet(self._manifest(batch_id))
+        write_note(spark, self._manifest(batch_id), after.to_json())
 
     def _clean(self, spark: SparkSession, before: Manifest, batch_id: int) -> None:
         """Removes the buckets that the manifest to be replaced named and the one before this batch doesn't."""
@@ -126,6 +127,76 @@ class BucketedState:
                 drop_folder(spark, self._folder(place, bucket))
 
 
+class Journal:
+    """What the batches of a stream put out under one name, and the table that these outputs make.
+
+    A batch writes its outputs first and the manifest of its state last. So that manifest is the one mark that makes
+    all its outputs valid: rows of later batches, which failed or are being written, are not read.
+
+    ``fold`` stores the table as a *snapshot*, after which reading opens the snapshot and the batches that came later. Marks of
+    snapshots alternate between two slots; a snapshot stays until the one after the next is stored, for those who read it.
+    The outputs themselves stay.
+    """
+
+    def __init__(self, state: BucketedState, kind: str) -> None:
+        self.state = state
+        self.folder = f"{state.root}/{kind}"
+
+    def committed(self, spark: SparkSession) -> int:
+        """The last batch that ended, -1 before the first."""
+        last = self.state.last(spark)
+        return -1 if last is None else last.batch_id
+
+    def _marks(self, spark: SparkSession) -> list[dict | None]:
+        """Batch and layout of the snapshot in each slot."""
+        texts = [read_note(spark, f"{self.folder}-snapshot/mark-{slot}") for slot in (0, 1)]
+        return [json.loads(text) if text else None for text in texts]
+
+    def _rows_of(self, batch_id: int) -> str:
+        return f"{self.folder}-snapshot/rows-{batch_id}"
+
+    def read(self, spark: SparkSession, upto: int) -> tuple[DataFrame | None, DataFrame]:
+        """(the newest snapshot, what the batches after it up to ``upto`` put out, with ``batch_id``)."""
+        mark = max((m for m in self._marks(spark) if m), key=lambda m: m["batch_id"], default=None)
+        base, first = None, 0
+        if mark is not None:
+            layout = T.StructType.fromJson(mark["schema"])
+            base, first = spark.read.schema(layout).parquet(self._rows_of(mark["batch_id"])), mark["batch_id"] + 1
+        later = [f"{self.folder}/batch_id={n}" for n in range(first, upto + 1)]
+        log = spark.read.option("basePath", self.folder)
+        if later:
+            return base, log.parquet(*later)
+        # No batch to read: any one tells the columns.
+        return base, log.parquet(f"{self.folder}/batch_id={max(first - 1, 0)}").filter(F.lit(False))
+
+    def fold(self, table: DataFrame, upto: int) -> None:
+        """Store ``table``, made of all outputs up to batch ``upto``, as a snapshot."""
+        spark = table.sparkSession
+        marks = self._marks(spark)
+        if any(m is not None and m["batch_id"] >= upto for m in marks):
+            return
+        slot = min((0, 1), key=lambda n: -1 if marks[n] is None else marks[n]["batch_id"])
+        table.hint("rebalance").write.mode("overwrite").parquet(self._rows_of(upto))
+        write_note(spark, f"{self.folder}-snapshot/mark-{slot}", json.dumps({"batch_id": upto, "schema": table.schema.jsonValue()}))
+        if marks[slot] is not None:
+            drop_folder(spark, self._rows_of(marks[slot]["batch_id"]))
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    """The text stored by ``write_note``, None without one."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return None
+    row = spark.read.schema("manifest STRING").parquet(path).first()
+    return None if row is None else row["manifest"]
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """A short text as a table of one row, replaced as a whole."""
+    note = spark.range(1, numPartitions=1).select(F.lit(text).alias("manifest"))
+    note.write.mode("overwrite").parquet(path)
+
+
 def output(rows: DataFrame, root: str, kind: str, batch_id: int) -> None:
     """Rows of a batch below ``root``; rebalanced, so that they make files of a useful size. Replaces a repeated batch's own."""
     rows.hint("rebalance").write.mode("overwrite").parquet(f"{root}/{kind}/batch_id={batch_id}")
