@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,13 +21,33 @@ def ring_ratio(
 
     ``ring_ratio`` is the change to three digits and ``is_ok`` tells whether it stays within
     the tolerance; both are NULL without a successor or after a zero. ``series`` is unique on
-    ``(key, t)``, so the join pairs each row at most once. ``key=()`` compares across points by time
+    ``(key, t)``, so each row has at most one successor. ``key=()`` compares across points by time
     only and then needs ``series`` to be unique on ``t``.
     """
-    before = series.select(*key, F.col("v").alias("v2"), (F.col("t") + step).alias("t"))
+    others = [c for c in series.columns if c not in (*key, "t", "v")]
+    # Every row takes part twice, as itself and as predecessor at its successor's time; both meet in one aggregate. A row
+    # without key or time has no successor, so its predecessor side stands alone (with equal rows, which are counted) and its
+    # own side is left out.
+    lone = reduce(or_, [F.col(c).isNull() for c in (*key, "t")])
+    row = F.when(lone, F.struct("t", "v", *others))
+    sides = F.array(
+        F.struct(F.col("t").alias("at"), F.lit(False).alias("earlier"), F.when(F.lit(False), row).alias("apart")),
+        F.struct((F.col("t") + step).alias("at"), F.lit(True).alias("earlier"), row.alias("apart")),
+    )
+    both = series.withColumn("_side", F.explode(sides)).filter(F.col("_side.earlier") | ~lone)
+    earlier = F.col("_side.earlier")
+    met = both.groupBy(*key, F.col("_side.at").alias("t"), F.col("_side.apart").alias("_apart")).agg(
+        *[F.max(F.when(~earlier, F.col(c))).alias(c) for c in ("v", *others)],
+        F.max(F.when(earlier, F.col("v"))).alias("v2"),
+        F.max(earlier).alias("_earlier"),
+        F.count("*").alias("_n"),
+    )
+    times = F.when(F.col("_apart").isNull(), 1).otherwise(F.col("_n")).cast("int")
     ratio = F.round(relative_change(F.col("v"), F.col("v2")), 3)
     return (
-        series.join(before, [*key, "t"], "right")
+        met.filter("_earlier")
+        .withColumn("_time", F.explode(F.array_repeat(F.lit(0), times)))
+        .select(*key, "t", *[c for c in series.columns if c not in (*key, "t")], "v2")
         .withColumn("t", F.when(F.col("v").isNotNull(), F.col("t")))
         .withColumn("ring_ratio", ratio)
         .withColumn("is_ok", F.col("ring_ratio").between(-tolerance, tolerance))

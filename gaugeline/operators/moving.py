@@ -42,7 +42,7 @@ def moving_sums(
     )
     placed = placed.select(*key, "_row", *[F.col(f"_p.{c}").alias(f"_{c}") for c in ("block", "part", "at", "shifted")])
     group = [*key, "_block", "_part"]
-    placed = placed.repartition(*group)
+    dealt = placed.repartition(*group)
     rightward = Window.partitionBy(*group).orderBy("_at", "_shifted").rowsBetween(Window.unboundedPreceding, 0)
     # From the right, a shifted row at the same time comes first: the lower bound is inclusive.
     leftward = (
@@ -50,11 +50,12 @@ def moving_sums(
     )
     own = F.col("_shifted") == 0
     value = {n: F.col("_row")[f"_{n}"] for n in names}
-    rows = placed.withColumns({f"_own_{n}": F.sum(F.when(own, value[n])).over(rightward) for n in names})
+    rows = dealt.withColumns({f"_own_{n}": F.sum(F.when(own, value[n])).over(rightward) for n in names})
     rows = rows.withColumns({f"_rest_{n}": F.sum(F.when(~own, value[n])).over(leftward) for n in names})
     rows = rows.filter(own)
     parts = [f"_own_{n}" for n in names], [f"_rest_{n}" for n in names]
     if window > part_ms:
+        # From the rows as they came: the totals combine before their own shuffle, a row per part and task.
         totals = placed.groupBy(*group).agg(
             *[F.sum(F.when(own, value[n])).alias(f"_left_{n}") for n in names],
             *[F.sum(F.when(~own, value[n])).alias(f"_right_{n}") for n in names],

@@ -59,12 +59,15 @@ def discriminate(
         readings = parse_array(batch)
         if on_reject is not None:
             on_reject(unreadable(batch), rejected(readings), batch_id)
-        joined = join_rules(arrivals(clean(readings)), rules(batch.sparkSession)).persist()
+        # Weighed and then broadcast: kept between the two.
+        known = rules(batch.sparkSession).persist()
+        joined = join_rules(arrivals(clean(readings)), known).persist()
         bound, unbound = split_bound(joined)
         runs(bound, batch_id)
         if on_unbound is not None:
             on_unbound(unbound, batch_id)
         joined.unpersist()
+        known.unpersist()
 
     return write_stream(with_order(messages), "foreach_batch", checkpoint, every=every, drain=drain, write=step)
 
@@ -85,12 +88,15 @@ def moving_average(
         readings = parse_array(batch)
         if on_reject is not None:
             on_reject(unreadable(batch), rejected(readings), batch_id)
-        joined = join_rules(arrivals(clean(readings)), rules(batch.sparkSession)).persist()
+        # Weighed and then broadcast: kept between the two.
+        known = rules(batch.sparkSession).persist()
+        joined = join_rules(arrivals(clean(readings)), known).persist()
         bound, unbound = split_bound(joined)
         averages(bound, batch_id)
         if on_unbound is not None:
             on_unbound(unbound, batch_id)
         joined.unpersist()
+        known.unpersist()
 
     return write_stream(with_order(messages), "foreach_batch", checkpoint, every=every, drain=drain, write=step)
 
@@ -149,9 +155,11 @@ def minute_values(
     put = keyed_table.put_by_year if by_year else keyed_table.put
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        bound, _ = split_bound(join_rules(batch, rules(batch.sparkSession)))
+        known = rules(batch.sparkSession).persist()
+        bound, _ = split_bound(join_rules(batch, known))
         rows = bound.select("uri", "t", F.col("id").alias("part"), *parts)
         put(keyed_table.with_row_key(rows, regions), path, batch_id)
+        known.unpersist()
 
     return write_stream(
         values, "foreach_batch", checkpoint, "update", every=every, drain=drain, write=step

@@ -48,6 +48,20 @@ def test_moving_average_in_parts(spark, window, part_ms):
     assert [r[2] for r in cut] == pytest.approx([r[2] for r in whole])
 
 
+def test_ring_ratio_of_rows_without_key_or_time(spark):
+    """They have no successor and are nobody's; equal ones stay apart."""
+    df = spark.sql(
+        "SELECT * FROM VALUES ('p', 1L, 10D, 'a'), ('p', 2L, 11D, 'b'), ('p', 4L, 5D, 'c'), ('q', 3L, 1D, 'd'),"
+        " (NULL, 1L, 7D, 'e'), (NULL, 2L, 8D, 'f'), ('p', NULL, 9D, 'g'), ('p', NULL, 9D, 'g'), ('p', 5L, NULL, 'h')"
+        " AS s(id, t, v, note)"
+    )
+    out = comparisons.ring_ratio(df)
+    assert out.columns == ["id", "t", "v", "note", "v2", "ring_ratio", "is_ok"]
+    assert rows(out.filter("t IS NOT NULL"), "id", "t", "v", "note", "v2", "ring_ratio") == [("p", 2, 11.0, "b", 10.0, 0.1)]
+    assert sorted(r.v2 for r in out.filter("t IS NULL AND v2 IS NOT NULL").collect()) == [1, 5, 7, 8, 9, 9, 11]
+    assert out.count() == 9
+
+
 def test_long_window_of_one_point_is_dealt_to_many_tasks(spark):
     """A month over one point: no task holds a window."""
     month, step = 30 * 86_400_000, 600_000

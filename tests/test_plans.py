@@ -93,6 +93,20 @@ def test_rules_and_versions_are_judged_in_one_pass(spark, name):
     assert "FullOuter" not in final
 
 
+def test_ring_ratio_reads_its_series_once(spark):
+    df = QUERIES["ring_ratio"](spark, SF_DIR)
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1
+    assert len([x for x in final.splitlines() if " Exchange hashpartitioning(" in x]) == 2
+
+
+def test_totals_of_long_windows_combine_before_the_shuffle(spark):
+    """Readings are dealt to parts once; the edge table's rows are partial sums."""
+    text = plan(QUERIES["moving_sum_week"](spark, SF_DIR))
+    assert text.count("REPARTITION_BY_COL") == 1 and "partial_sum" in text
+
+
 @pytest.mark.parametrize("name", ["past_day_report", "src_versions"])
 def test_time_ranges_reach_the_scan(spark, name):
     text = plan(QUERIES[name](spark, SF_DIR))
