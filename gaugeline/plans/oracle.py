@@ -237,6 +237,7 @@ ORACLE: dict[str, str] = {
    o_totalprice AS v, o_orderkey AS seq FROM orders), d AS ({_last('o', 'uri', DAY)})
  SELECT 'minute_' || CAST(year({_TS}) AS VARCHAR) AS table_name, {_KEY} AS row_key, v, t FROM d""",
     "sink_once_per_batch": f"WITH {_READINGS} SELECT seq, id, t, v FROM readings",
+    "sink_foreach": f"WITH {_READINGS} SELECT seq, id, t, v FROM readings",
     "keyed_delete": f"""{_DAILY} SELECT row_key, uri, v, CASE WHEN v > 100 THEN NULL ELSE t END AS t
  FROM keyed WHERE v >= 5""",
     "sink_abnormal": f"""WITH {_READINGS}, {_rules('rules')}, {_judged('limit')}

@@ -29,6 +29,7 @@ from gaugeline.sinks import keyed_table
 from gaugeline.sinks.dispatch import write_stream
 from gaugeline.sinks.keyed_json import keyed_json
 from gaugeline.sinks.once import once_per_batch
+from gaugeline.sinks.rows import lines_writer
 from gaugeline.sources import keyed
 from gaugeline.sources import readings as src
 from gaugeline.sources import rules as rule_source
@@ -266,6 +267,16 @@ def sink_once_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{path}/rows")
 
 
+@query("sink_foreach")
+def sink_foreach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream of readings handed row by row to a client, which stores lines of JSON."""
+    path = shared_folder(spark, "rows")
+    readings = _event_stream(spark, sf_dir).select("seq", "id", "t", "v")
+    writer = lines_writer(f"{path}/lines")
+    write_stream(readings, "foreach", f"{path}/checkpoint", drain=True, writer=writer).awaitTermination()
+    return spark.read.schema("seq BIGINT, id STRING, t BIGINT, v DOUBLE").json(f"{path}/lines/epoch=*")
+
+
 @query("sink_dispatch")
 def sink_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream of readings into the topic sink, files standing in for the broker."""

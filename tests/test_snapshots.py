@@ -3,6 +3,7 @@
 import pytest
 
 from gaugeline.operators.discriminators import RULES
+from gaugeline.sinks.rows import lines_writer
 from gaugeline.streaming import incremental
 from gaugeline.streaming.incremental import IncrementalMovingAvg, IncrementalRuns
 from gaugeline.streaming.minutes import RunningWindows
@@ -127,3 +128,19 @@ def test_averages_and_windows_from_snapshots(spark, tmp_path, build):
         assert rows(folded.table(spark), *columns) == rows(plain.table(spark), *columns)
     opened = {file.rpartition("/")[0].rpartition("/")[2] for file in folded.table(spark).inputFiles()}
     assert opened == {"rows-2", "batch_id=3"}
+
+
+def test_a_repeated_epoch_replaces_its_lines(spark, tmp_path):
+    """Rows handed to a client: a failed attempt leaves nothing that its repetition does not replace."""
+    given = spark.sql("SELECT * FROM VALUES (1L, 'a'), (2L, NULL), (3L, 'c\nd') AS r(n, s)").collect()
+    for attempt in (given[:2], given):
+        writer = lines_writer(str(tmp_path / "lines"), group=2)
+        assert writer.open(0, 7)
+        for row in attempt:
+            writer.process(row)
+        writer.close(OSError("lost") if attempt is not given else None)
+    other = lines_writer(str(tmp_path / "lines"))
+    other.open(0, 8)
+    other.close(None)
+    stored = spark.read.schema("n BIGINT, s STRING").json(str(tmp_path / "lines" / "epoch=*"))
+    assert rows(stored, "n", "s") == rows(spark.createDataFrame(given), "n", "s")
