@@ -20,16 +20,10 @@ BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 SPREAD = 32
 
-COLUMN_PREFIX = "dc.cleaning.rule.column."
 
-
-def params_from_options(options: dict[str, str]) -> dict[str, str]:
-    """Rule columns named by options ``dc.cleaning.rule.column.<name>`` -> path."""
-    return {
-        name.removeprefix(COLUMN_PREFIX): path
-        for name, path in options.items()
-        if name.startswith(COLUMN_PREFIX)
-    }
+def params_from_options(options: dict[str, str], prefix: str) -> dict[str, str]:
+    """Rule columns named by options ``<prefix><name>`` -> path."""
+    return {name.removeprefix(prefix): path for name, path in options.items() if name.startswith(prefix)}
 
 
 def json_path(path: str) -> str:

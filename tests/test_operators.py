@@ -165,8 +165,8 @@ def test_rules(spark):
         ],
         "n INT, value STRING",
     )
-    options = {"dc.cleaning.rule.column.upperbound": "$.0.value", "dc.cleaning.rule.column.lowerbound": "$.1.value", "x": "y"}
-    params = rule_source.params_from_options(options)
+    options = {"job.rule.upperbound": "$.0.value", "job.rule.lowerbound": "$.1.value", "x": "y"}
+    params = rule_source.params_from_options(options, "job.rule.")
     rules = rule_source.parse_rules(docs, params, order="n")
     assert rows(rules, "id", "uri", "upperbound", "lowerbound") == [
         ("/gw1/a", "/u/a", "100", "0"),
