@@ -51,9 +51,9 @@ def level(gram: np.ndarray, count: np.ndarray) -> Level:
         key = gram >> (8 - bit)
         begin = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
         one = (gram >> (7 - bit)) & 1
-        number = np.zeros(len(key), np.int64)
+        number = np.zeros(len(key), np.int32)
         number[begin] = 1
-        node.append(np.cumsum(number) - 1)
+        node.append(np.cumsum(number, dtype=np.int32) - 1)
         first.append(begin)
         ones.append(np.add.reduceat(count * one, begin) if len(begin) else begin)
         zeros.append(np.add.reduceat(count * (1 - one), begin) if len(begin) else begin)

@@ -10,7 +10,8 @@ Counts don't depend on an order, so the whole model is sums over *grams* (``dept
    words, counted where they stand in training texts.
 2. Grams are summed by key and dealt into parts by the three nearest bytes; each part holds whole subtrees and settles
    them. Depth 2 is settled from the parts' sums, depths 0 and 1 (a fixed number of nodes) in the driver.
-3. Each gram gets its probability once. The values go back to the blocks that have the gram, and every block scores its texts.
+3. Each gram gets its probability once. The values go back to the blocks that have the gram, packed by block before the
+   shuffle, and every block scores its texts.
 
 Nothing that grows with the corpus is broadcast: a task holds one block and the values of its own grams.
 """
@@ -20,6 +21,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +38,12 @@ DEPTH = 5
 # Bytes of text in a block and in a packed row of it (one text at least).
 BLOCK = 32 << 20
 PACK = 1 << 20
-# Grams of a part of the tree, about.
-PART = 750_000
+# Grams of a block that wait to be merged with those before them; as many as these, if they are more.
+WAITING = 1 << 19
+# Bytes of grams or words that a task holds while it packs them by block.
+HELD = 16 << 20
+# Grams of a part of the tree, about; a task holds some 600 bytes for each.
+PART = 300_000
 # Context bytes that name a subtree.
 SUBTREE = 3
 
@@ -54,19 +60,38 @@ def _texts(batch: pa.RecordBatch | pa.Table) -> list[bytes]:
 
 
 def _merged(grams: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    key, place = np.unique(np.concatenate(grams), return_inverse=True)
-    return key, np.bincount(place, np.concatenate(counts), len(key)).astype(np.int64)
+    every = np.concatenate(grams)
+    order = np.argsort(every)
+    every = every[order]
+    begin = np.flatnonzero(np.append(True, every[1:] != every[:-1])) if len(every) else np.zeros(0, np.int64)
+    return every[begin], np.add.reduceat(np.concatenate(counts)[order], begin) if len(begin) else begin
+
+
+def _counted(texts: list[bytes]) -> pa.Table:
+    """``word, n``: distinct words and ends of texts, and how often they occur."""
+    words = pa.array([*chain.from_iterable(t.split() for t in texts), *[b""] * len(texts)], pa.binary()).value_counts()
+    return pa.table({"word": words.field("values"), "n": words.field("counts")})
+
+
+def _summed(tables: list[pa.Table]) -> pa.Table:
+    """One row per word of ``word, n``."""
+    out = pa.concat_tables(tables).group_by("word", use_threads=False).aggregate([("n", "sum")])
+    return pa.table({"word": out.column("word"), "n": out.column("n_sum")})
+
+
+def _release() -> None:
+    """Gives back what Arrow keeps for later, as a worker shares its memory with others."""
+    pa.default_memory_pool().release_unused()
 
 
 class _Block:
     """Distinct grams and words of a block, with their counts in training texts."""
 
     def __init__(self, depth: int) -> None:
-        self.depth, self.size = depth, 0
+        self.depth, self.size, self.waiting = depth, 0, 0
         self.grams: list[np.ndarray] = [np.zeros(0, np.int64)]
         self.counts: list[np.ndarray] = [np.zeros(0, np.int64)]
-        self.words: Counter[bytes] = Counter()
-        self.other: set[bytes] = set()
+        self.words: list[pa.Table] = [_counted([])]
 
     def add(self, texts: list[bytes], learned: list[bool]) -> None:
         for wanted in (True, False):
@@ -77,23 +102,31 @@ class _Block:
             key, count = np.unique(found, return_counts=True)
             self.grams.append(key)
             self.counts.append(count if wanted else count * 0)
-            for text in chosen:
-                (self.words if wanted else self.other).update(text.split())
-            if wanted:
-                self.words[b""] += len(chosen)
+            self.waiting += len(key)
+            words = _counted(chosen)
+            if not wanted:
+                # An end is no word of a text that isn't learned from.
+                words = words.filter(pc.not_equal(words.column("word"), b""))
+                words = words.set_column(1, "n", pa.array(np.zeros(len(words), np.int64)))
+            self.words.append(words)
         self.size += sum(map(len, texts))
-        if len(self.grams) > 16:
-            key, count = _merged(self.grams, self.counts)
-            self.grams, self.counts = [key], [count]
+        if self.waiting > max(WAITING, len(self.grams[0])):
+            self._merge()
 
-    def rows(self, block: int) -> Iterator[pa.RecordBatch]:
+    def _merge(self) -> None:
         key, count = _merged(self.grams, self.counts)
+        self.grams, self.counts, self.waiting = [key], [count], 0
+        self.words = [_summed(self.words)]
+        _release()
+
+    def rows(self, block: int) -> Iterator[pa.RecordBatch]:
+        self._merge()
+        key, count = self.grams[0], self.counts[0]
         for at in range(0, len(key), 1 << 16):
             yield _rows(block, gram=pa.array(key[at : at + (1 << 16)]), n=pa.array(count[at : at + (1 << 16)]))
-        self.words.update(dict.fromkeys(self.other, 0))
-        words, counts = list(self.words), list(self.words.values())
-        for at in range(0, len(words), 1 << 16):
-            yield _rows(block, word=pa.array(words[at : at + (1 << 16)], pa.binary()), n=pa.array(counts[at : at + (1 << 16)], pa.int64()))
+        for words in self.words[0].to_batches(1 << 16):
+            if words.num_rows:
+                yield _rows(block, word=words.column("word"), n=words.column("n"))
 
 
 _BLOCK_ROWS = {"texts": pa.binary(), "gram": pa.int64(), "word": pa.binary(), "n": pa.int64()}
@@ -198,6 +231,53 @@ def _valued(dealt: DataFrame, second: DataFrame, top: tree.Top, depth: int) -> D
     return rows.groupBy("part").applyInArrow(value, "gram bigint, value double")
 
 
+def _by_block(rows: DataFrame) -> DataFrame:
+    """``block, rows``: the other columns of a block's rows, packed by the task that holds them, a bounded number at a time."""
+
+    def pack(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held).combine_chunks()
+        block = table.column("block").to_numpy()
+        order = np.argsort(block, kind="stable")
+        block = block[order]
+        begin = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+        table = table.drop_columns("block").take(pa.array(order))
+        for at, end in zip(begin.tolist(), [*begin[1:].tolist(), len(block)], strict=True):
+            packed = _packed(table.slice(at, end - at).combine_chunks().to_batches()[0])
+            yield pa.record_batch({"block": pa.array(block[at : at + 1]), "rows": pa.array([packed], pa.binary())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                size += batch.nbytes
+            if size >= HELD:
+                yield from pack(held)
+                held, size = [], 0
+                _release()
+        if held:
+            yield from pack(held)
+
+    return rows.mapInArrow(run, "block bigint, rows binary")
+
+
+def _gram_table(packed: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted grams and their values, of packed rows."""
+    tables = [_unpacked(part) for part in packed.drop_null()]
+    key, value = (np.concatenate([t.column(c).to_numpy() for t in tables]) for c in ("gram", "value"))
+    del tables
+    order = np.argsort(key)
+    return key[order], value[order]
+
+
+def _logarithms(count: Counter[bytes], out_of: int) -> dict[bytes, float]:
+    """Logarithms of the words' probabilities, in place of their counts; like counts share one number."""
+    log10 = {c: math.log10((c + 1) / out_of) for c in set(count.values())}
+    for word, c in count.items():
+        count[word] = log10[c]
+    return count
+
+
 def scored(
     docs: DataFrame, learned: Column, doc_id: str = "doc_id", text: str = "text", depth: int = DEPTH, block_bytes: int = BLOCK
 ) -> DataFrame:
@@ -234,16 +314,15 @@ def scored(
     n_all, n_distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when((F.col("place") == 1) & (F.col("c") > 0), 1))).first()
     out_of = n_all + n_distinct + 1
 
-    null = F.lit(None)
-    found = grams.join(values, "gram").select("block", "gram", "value", null.cast("binary").alias("word"), null.cast("bigint").alias("c"))
     # A block knows its own counts of words; it is told those that differ.
-    found = found.union(words.filter("c <> n").select("block", null.cast("bigint"), null.cast("double"), "word", "c"))
+    told = _by_block(grams.join(values, "gram").select("block", "gram", "value")).withColumnRenamed("rows", "grams")
+    told = told.unionByName(
+        _by_block(words.filter("c <> n").select("block", "word", "c")).withColumnRenamed("rows", "words"), allowMissingColumns=True
+    )
     texts = table.filter("texts IS NOT NULL").select(F.col("block").alias("of"), "texts")
 
     def score(packed: pa.Table, told: pa.Table) -> pa.Table:
-        is_gram = pc.is_valid(told.column("gram"))
-        of_gram = told.filter(is_gram).select(["gram", "value"]).sort_by("gram")
-        key, value = of_gram.column("gram").to_numpy(), of_gram.column("value").to_numpy()
+        key, value = _gram_table(told.column("grams"))
         parts = packed.column("texts")
         count: Counter[bytes] = Counter()
         for part in parts:
@@ -252,9 +331,12 @@ def scored(
                 if is_learned:
                     count.update(words_of.split())
                     count[b""] += 1
-        of_word = told.filter(pc.invert(is_gram))
-        count.update({w: c - count[w] for w, c in zip(of_word.column("word").to_pylist(), of_word.column("c").to_pylist(), strict=True)})
-        base = {w: math.log10((c + 1) / out_of) for w, c in count.items() if c > 0}
+        for part in told.column("words").drop_null():
+            rows = _unpacked(part)
+            for word, c in zip(rows.column("word").to_pylist(), rows.column("c").to_pylist(), strict=True):
+                count[word] = c
+        base = _logarithms(count, out_of)
+        _release()
         return pa.concat_tables([_scores(_unpacked(part), key, value, base, math.log10(1 / out_of)) for part in parts])
 
     def _scores(rows: pa.Table, key: np.ndarray, value: np.ndarray, base: dict[bytes, float], unknown: float) -> pa.Table:
@@ -267,7 +349,9 @@ def scored(
             n_known.append(len(each) - missing)
             base_score.append(math.fsum(x for x in each if x is not None) + missing * unknown)
         found, begin = tree.text_grams(texts, depth)
-        log10 = np.add.reduceat(value[np.searchsorted(key, found)], begin)
+        # A text's grams repeat: each is looked up once, in order.
+        own, place = np.unique(found, return_inverse=True)
+        log10 = np.add.reduceat(value[np.searchsorted(key, own)][place], begin)
         size = np.array([len(t) for t in texts], np.int64)
         return pa.table(
             {
@@ -287,7 +371,7 @@ def scored(
         f"doc_id {kind}, learned boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
         "base_score double, score double, n_bytes bigint, bits_per_byte double"
     )
-    return texts.groupBy("of").cogroup(found.groupBy("block")).applyInArrow(score, result)
+    return texts.groupBy("of").cogroup(told.groupBy("block")).applyInArrow(score, result)
 
 
 def _unpacked(part: pa.Scalar) -> pa.Table:

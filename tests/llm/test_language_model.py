@@ -125,3 +125,38 @@ def test_odd_rows(documents, nothing):
 def test_beats_the_word_model_on_held_out_texts(spark):
     got = op11_language_model(spark, "/root/testdata/sf0.1").filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert got[0] > got[1]
+
+
+def test_a_block_holds_little_beside_its_distinct_grams():
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    parts = [[rng.integers(97, 123, 1 << 18).astype(np.uint8).tobytes()] for _ in range(16)]
+    language_model.WAITING, before = 1 << 18, getattr(language_model, "WAITING", None)
+    tracemalloc.start()
+    try:
+        block = language_model._Block(DEPTH)
+        for part in parts:
+            block.add(part, [True])
+        found = [r for r in block.rows(0) if r.column("gram").null_count == 0]
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        language_model.WAITING = before
+    every, _ = tree.text_grams([t for part in parts for t in part], DEPTH)
+    key, count = np.unique(every, return_counts=True)
+    assert np.concatenate([r.column("gram").to_numpy() for r in found]).tolist() == key.tolist()
+    assert np.concatenate([r.column("n").to_numpy() for r in found]).tolist() == count.tolist()
+    # Sixteen parts of 256 Ki grams, about 170,000 distinct ones each, make 26**4 in all.
+    assert most < 100 << 20
+
+
+def test_rows_are_told_in_few_packed_pieces(spark):
+    rows = spark.range(5000).selectExpr("id % 7 AS block", "id AS gram", "id / 3D AS value").repartition(2)
+    pieces = language_model._by_block(rows).collect()
+    assert len(pieces) == 14
+    for block in range(7):
+        parts = language_model.pa.chunked_array([[p.rows for p in pieces if p.block == block]])
+        key, value = language_model._gram_table(parts)
+        assert key.tolist() == list(range(block, 5000, 7))
+        assert value.tolist() == pytest.approx((key / 3).tolist())
