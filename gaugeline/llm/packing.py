@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,8 @@ BUCKETS, DIMS, BITS = 256, 3, 16
 SEED = 20_240_607
 # Documents held at a time by a task.
 SLICE = 256
+# Characters of texts whose words are looked up together, and of a first word that is remembered.
+TOGETHER, LEAD = 1 << 15, 32
 # A space that does not begin a piece of its own.
 UNCUT = re.compile(r"\s ")
 
@@ -46,6 +49,7 @@ class Encoder:
 
     Byte-level pieces never cross from a character that isn't white space into a following space, so a text
     is cut there, and the ids of each word are remembered; texts with a space after white space are encoded whole.
+    The words of many texts are looked up and learned at once.
     Words are encoded by a BPE of the same vocabulary (its ids are its merge ranks), which gives the tokenizer's
     ids; a text that holds a special token goes to the tokenizer itself.
     """
@@ -66,43 +70,82 @@ class Encoder:
         self.width = np.zeros(self.size, np.int64)
         for token, i in ranks.items():
             self.width[i] = len(token)
-        # Ids of words after a space, without it.
+        # Ids of words after a space, without it, and of first words, by a space and the word. None ends in white space.
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> None:
-        """Encode words in one text; each follows a space, and none but the last ends in white space."""
-        ids = np.array(self.bpe.encode_ordinary(" " + " ".join(words)), self.dtype)
-        ends = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum([len(w.encode()) + 1 for w in words])) + 1
-        if len(self.new) + len(words) > REMEMBER:
+        """Encode words in one text; each follows a space, and none ends in white space."""
+        text = " " + " ".join(words)
+        ids = self._ids(text)
+        sizes = list(map(len, words if text.isascii() else map(str.encode, words)))
+        ends = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum(np.array(sizes) + 1)) + 1
+        raw, ends = ids.tobytes(), (ends * self.dtype.itemsize).tolist()
+        self.new.update(zip(words, map(raw.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
+
+    def _ids(self, text: str) -> np.ndarray:
+        return self.bpe.encode_to_numpy(text, disallowed_special=()).astype(self.dtype)
+
+    def _raw(self, text: str) -> bytes:
+        return self._ids(text).tobytes()
+
+    def _lead(self, first: str) -> bytes:
+        if len(first) > LEAD:
+            return self._raw(first)
+        ids = self.new.get(" " + first)
+        if ids is None:
+            ids = self.new[" " + first] = self._raw(first)
+        return ids
+
+    def _known(self, words: set[str]) -> set[str]:
+        """Remembers all ``words`` but those that can't stand before a space, which it returns."""
+        if len(self.new) > REMEMBER:
             self.old, self.new = self.new, {}
-        begin, raw, size = 0, ids.tobytes(), self.dtype.itemsize
-        for word, end in zip(words, (ends * size).tolist(), strict=True):
-            self.new[word] = raw[begin:end]
-            begin = end
+        words = words.difference(self.new)
+        missing, uncut = list(words.difference(self.old)), set()
+        again = words.difference(missing)
+        self.new.update(zip(again, map(self.old.__getitem__, again), strict=True))
+        if "" in words or UNCUT.search(" ".join([*missing, ""])):
+            uncut = {w for w in missing if not w or w[-1].isspace()}
+            missing = [w for w in missing if w not in uncut]
+        if missing:
+            self._learn(missing)
+        return uncut
+
+    def _together(self, texts: list[str]) -> list[np.ndarray]:
+        out: list[np.ndarray] = [np.zeros(0, self.dtype)] * len(texts)
+        cut = []
+        for i, text in enumerate(texts):
+            first, *words = text.split(" ")
+            if any(s in text for s in self.special):
+                out[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
+            elif not words or not first or first[-1].isspace() or "  " in text:
+                out[i] = self._ids(text)
+            else:
+                # What ends a text may end in white space.
+                last = words.pop() if not words[-1] or words[-1][-1].isspace() else None
+                cut.append((i, first, words, last))
+        uncut = self._known(set(chain.from_iterable(words for _, _, words, _ in cut)))
+        for i, first, words, last in cut:
+            if uncut and not uncut.isdisjoint(words):
+                out[i] = self._ids(texts[i])
+                continue
+            tail = b"" if last is None else self._raw(" " + last)
+            out[i] = np.frombuffer(b"".join([self._lead(first), *map(self.new.__getitem__, words), tail]), self.dtype)
+        return out
+
+    def many(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """Ids of each text; words of neighbouring texts are looked up together."""
+        begin, size = 0, 0
+        for i, text in enumerate(texts):
+            if i > begin and size + len(text) > TOGETHER:
+                yield from self._together(texts[begin:i])
+                begin, size = i, 0
+            size += len(text)
+        yield from self._together(texts[begin:])
 
     def __call__(self, text: str) -> np.ndarray:
-        if any(s in text for s in self.special):
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            return np.array(ids, self.dtype)
-        first, *words = text.split(" ")
-        if not words or not first or UNCUT.search(text):
-            return np.array(self.bpe.encode_ordinary(text), self.dtype)
-        found = list(map(self.new.get, words))
-        if None in found:
-            missing = dict.fromkeys(w for w, f in zip(words, found, strict=True) if f is None)
-            for word in list(missing):
-                if word in self.old:
-                    self.new[word] = self.old[word]
-                    del missing[word]
-            if missing:
-                known = self.new
-                self._learn(list(missing))
-                found = [f if f is not None else self.new.get(w) or known[w] for w, f in zip(words, found, strict=True)]
-            else:
-                found = list(map(self.new.get, words))
-        lead = np.array(self.bpe.encode_ordinary(first), self.dtype).tobytes()
-        return np.frombuffer(lead + b"".join(found), self.dtype)
+        return self._together([text])[0]
 
 
 def _as_bytes(token: str) -> bytes:
@@ -178,7 +221,7 @@ def tokens(docs: DataFrame, doc_id: str, text: str, vocabulary: str) -> DataFram
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)
-                ids = [encoder(t) for t in part.column("text").to_pylist()]
+                ids = list(encoder.many(part.column("text").to_pylist()))
                 yield pa.record_batch(
                     {
                         "row": part.column("row"),

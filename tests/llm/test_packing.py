@@ -68,3 +68,27 @@ def test_encoder_is_the_tokenizer(tokenizer):
             assert encoder(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
     finally:
         packing.REMEMBER = before
+
+
+def test_words_of_many_texts_are_encoded_at_once(tokenizer, monkeypatch):
+    from gaugeline.llm import packing
+
+    class Counting:
+        def __init__(self, bpe):
+            self.bpe, self.calls = bpe, 0
+
+        def __getattr__(self, name):
+            self.calls += 1
+            return getattr(self.bpe, name)
+
+    encoder = packing.Encoder(default_vocabulary())
+    plain = [f"the word{i} other{i % 7}.\nThe éñ{i}" for i in range(200)]
+    encoder.bpe = Counting(encoder.bpe)
+    got = list(encoder.many(plain))
+    assert encoder.bpe.calls < 10
+    odd = ["a  b", " a", "a ", "a \n b", "b\n", "b\n c", "x\n\n  y\t z", "", "q r ", "q r\n", "q r\n s", "a<|endoftext|>b c", "é ñ　 x", "r" * 40 + " s"]
+    monkeypatch.setattr(packing, "REMEMBER", 20)
+    monkeypatch.setattr(packing, "TOGETHER", 100)
+    got += encoder.many(plain + odd * 3)
+    for text, ids in zip(plain + plain + odd * 3, got, strict=True):
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
